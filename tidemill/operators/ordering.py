@@ -12,13 +12,14 @@ and for a run of equal values to be splittable.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.session import materialise
 
-MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_ROWS = 10_000_000
 CHUNK = "_chunk"
 
 
@@ -32,12 +33,13 @@ def desc(name: str) -> Column:
     return F.col(name).desc_nulls_first()
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the largest group."""
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows in the largest group, and in all."""
     if not keys:
-        return df.count()
+        total = df.count()
+        return total, total
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    return tuple(n or 0 for n in counts.agg(F.max("n"), F.sum("n")).first())
 
 
 def same(left: list[Column], right: list[Column]) -> Column:
@@ -45,12 +47,13 @@ def same(left: list[Column], right: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, (l.eqNullSafe(r) for l, r in zip(left, right)), F.lit(True))
 
 
-def split_ranges(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
-    """Rows in chunks that follow each other in (keys, order); chunk numbers rise along the order.
+def split_ranges(df: DataFrame, keys: list[str], order_by: list[Column], chunks: int) -> DataFrame:
+    """Rows in about ``chunks`` equal chunks that follow each other in (keys, order); chunk numbers
+    rise along the order.
 
     Written out once, because range borders come from a sample and a second run could move them.
     """
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order_by)
+    ranged = df.repartitionByRange(chunks, *[F.col(k) for k in keys], *order_by)
     return materialise(ranged.withColumn(CHUNK, F.spark_partition_id()), "ranges")
 
 
@@ -74,11 +77,12 @@ def prefix_sum(
     """Adds the sum of ``weight`` (default: row count) over the rows of the key before this one."""
     weight = F.lit(1).cast("long") if weight is None else weight
     earlier = (Window.unboundedPreceding, -1)
-    if largest_group(df, keys) <= max_group_rows:
+    largest, total = group_sizes(df, keys)
+    if largest <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(*earlier)
         return df.withColumn(name, F.coalesce(F.sum(weight).over(window), F.lit(0)))
 
-    ranged = split_ranges(df, keys, order_by)
+    ranged = split_ranges(df, keys, order_by, math.ceil(total / max_group_rows))
     totals = ranged.groupBy(*keys, CHUNK).agg(F.sum(weight).alias("_total"))
     chunks = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*earlier)
     carried = totals.withColumn("_carried", F.sum("_total").over(chunks)).filter("_carried > 0")
@@ -130,10 +134,11 @@ def next_value(df: DataFrame, part: list[str], order_by: list[Column], column: s
 
 def _neighbour(df, part, order_by, column, name, step, max_group_rows):
     shift = F.lead if step > 0 else F.lag
-    if largest_group(df, part) <= max_group_rows:
+    largest, total = group_sizes(df, part)
+    if largest <= max_group_rows:
         return df.withColumn(name, shift(column).over(Window.partitionBy(*part).orderBy(*order_by)))
 
-    ranged = split_ranges(df, part, order_by)
+    ranged = split_ranges(df, part, order_by, math.ceil(total / max_group_rows))
     inside = Window.partitionBy(*part, CHUNK).orderBy(*order_by)
     marked = (
         ranged.withColumn(name, shift(column).over(inside))
@@ -191,7 +196,7 @@ def median_by(
     """
     present = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
     counts = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    if largest_group(counts, keys) <= max_group_rows:
+    if group_sizes(counts, keys)[0] <= max_group_rows:
         return present.groupBy(*keys).agg(F.percentile("_v", 0.5).alias(name))
 
     placed = prefix_sum(counts, keys, [asc("_v")], F.col("_n"), "_before", max_group_rows)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["shape"]
+MODULES = ["shape", "aggregates"]
 
 
 def all_queries():
