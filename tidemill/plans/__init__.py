@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["shape", "aggregates"]
+MODULES = ["shape", "aggregates", "joins"]
 
 
 def all_queries():
