@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["shape", "aggregates", "joins"]
+MODULES = ["shape", "aggregates", "joins", "storage", "quality"]
 
 
 def all_queries():
