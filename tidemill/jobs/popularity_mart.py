@@ -26,17 +26,21 @@ TABLES = {
     ),
 }
 MART = (
-    "product_id INT, product_name STRING, total_quantity_sold INT, "
-    "total_revenue DECIMAL(14,2), order_count INT, avg_price DECIMAL(10,2)"
+    "product_id INT, product_name STRING, total_quantity_sold BIGINT, "
+    "total_revenue DECIMAL(24,2), order_count BIGINT, avg_price DECIMAL(18,2)"
 )
 
 
-def load_raw(spark: SparkSession, src: str, root: str) -> None:
-    """New, valid files of each kind to ``root/raw``; the others to ``root/rejects``."""
-    for name, (ddl, glob, _) in TABLES.items():
-        schema = StructType.fromDDL(ddl)
+def load_raw(spark: SparkSession, src: str | dict[str, str], root: str) -> None:
+    """New, valid files of each kind to ``root/raw``; the others to ``root/rejects``.
+
+    ``src`` is one folder whose file names tell the kind, or a folder for each kind.
+    """
+    for name, (ddl, pattern, _) in TABLES.items():
+        folder, glob = (src, pattern) if isinstance(src, str) else (src[name], "*.csv")
         ingest_checked_files(
-            spark, src, f"{root}/raw/{name}", f"{root}/rejects/{name}", schema, rules_for(name), glob=glob
+            spark, folder, f"{root}/raw/{name}", f"{root}/rejects/{name}",
+            StructType.fromDDL(ddl), rules_for(name), glob=glob,
         ).awaitTermination()
 
 
@@ -65,7 +69,7 @@ def dds_to_mart(spark: SparkSession, root: str, database: str) -> DataFrame:
     return spark.table(mart)
 
 
-def run(spark: SparkSession, src: str, root: str, database: str) -> DataFrame:
+def run(spark: SparkSession, src: str | dict[str, str], root: str, database: str) -> DataFrame:
     load_raw(spark, src, root)
     raw_to_dds(spark, root, database)
     return dds_to_mart(spark, root, database)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidemill.streaming.messages import ingest_stream
+from tidemill.streaming.messages import ingest_stream, stored_records, stored_rejects
 
 # Fields of a message.
 READING = StructType.fromDDL("sensor_id STRING NOT NULL, timestamp TIMESTAMP NOT NULL, value DOUBLE NOT NULL")
@@ -16,8 +16,8 @@ def run(spark: SparkSession, messages: DataFrame, root: str, trigger: dict | Non
     table = f"{root}/sensor_readings"
     query = ingest_stream(messages, READING, table, f"{root}/sensor_rejects", trigger=trigger)
     query.awaitTermination()
-    return spark.read.schema(READING).parquet(table)
+    return stored_records(spark, table, READING)
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("value string, problem string").parquet(f"{root}/sensor_rejects")
+    return stored_rejects(spark, f"{root}/sensor_rejects")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["shape", "aggregates", "joins", "storage", "quality"]
+MODULES = ["shape", "aggregates", "joins", "storage", "quality", "streams"]
 
 
 def all_queries():

@@ -20,7 +20,7 @@ def new_files(
     spark: SparkSession, src: str, schema: StructType, glob: str | None = None,
     max_files: int | None = None, archive: str | None = None, **options,
 ) -> DataFrame:
-    """A stream of the CSV files that arrive in ``src``, with the place of each row.
+    """A stream of the CSV files that arrive in ``src``, with the file of each row.
 
     ``max_files`` limits a micro-batch (1 for file by file); ``archive`` moves read files there.
     """
@@ -35,7 +35,6 @@ def new_files(
         "*",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("file_block"),
-        F.monotonically_increasing_id().alias("row_no"),
     )
 
 
@@ -66,7 +65,8 @@ def ingest_checked_files(
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("errors", errors_of([*required, *rules])).persist()
+        numbered = batch.withColumn("row_no", F.monotonically_increasing_id())
+        rows = numbered.withColumn("errors", errors_of([*required, *rules])).persist()
         try:
             bad = rows.filter(F.size("errors") > 0).select(*names, "file_path", "errors")
             if unique_rows:

@@ -77,6 +77,16 @@ def ingest_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def stored_records(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """Good records stored by ``ingest_stream``."""
+    return spark.read.schema(schema).parquet(table).select(*schema.fieldNames())
+
+
+def stored_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """Bad messages stored by ``ingest_stream``."""
+    return spark.read.schema("value string, problem string").parquet(rejects).select("value", "problem")
+
+
 def append_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Appends a stream to a Parquet table, each micro-batch committed once."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
