@@ -80,4 +80,4 @@ def mean_money(col: Column | str) -> Column:
 
 def split_cells(text: Column | str, sep: str = ",") -> Column:
     """Multi-valued cell to a list of trimmed parts."""
-    return F.transform(F.split(_c(text), sep), F.trim)
+    return F.transform(F.split(_c(text), sep), lambda part: F.trim(part))

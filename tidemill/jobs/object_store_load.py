@@ -9,7 +9,7 @@ from tidemill.operators.quality import Rule
 from tidemill.streaming.files import ingest_checked_files, loaded_files, stored
 
 # Columns of an object.
-OBJECT = StructType.fromDDL("id INT, value INT")
+OBJECT = StructType().add("id", "integer").add("value", "integer")
 
 
 def run(

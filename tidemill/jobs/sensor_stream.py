@@ -8,7 +8,9 @@ from pyspark.sql.types import StructType
 from tidemill.streaming.messages import ingest_stream, stored_records, stored_rejects
 
 # Fields of a message.
-READING = StructType.fromDDL("sensor_id STRING NOT NULL, timestamp TIMESTAMP NOT NULL, value DOUBLE NOT NULL")
+READING = (
+    StructType().add("sensor_id", "string", False).add("timestamp", "timestamp", False).add("value", "double", False)
+)
 
 
 def run(spark: SparkSession, messages: DataFrame, root: str, trigger: dict | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemill.functions.scalar import part_after
+from tidemill.functions.scalar import part_after, split_cells
 
 
 def full_name(df: DataFrame, first: str, last: str, name: str = "full_name") -> DataFrame:
@@ -222,5 +222,4 @@ def non_zero(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def explode_cell(df: DataFrame, column: str, sep: str = ",") -> DataFrame:
     """One row for each part of a multi-valued cell."""
-    parts = F.explode(F.transform(F.split(F.col(column), sep), F.trim))
-    return df.withColumn(column, parts)
+    return df.withColumn(column, F.explode(split_cells(column, sep)))

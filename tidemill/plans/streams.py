@@ -20,7 +20,7 @@ from tidemill.plans.storage import ORDER, ORDER_COLUMNS, database
 from tidemill.sources.sinks import to_messages
 from tidemill.streaming import files as SF, messages as SM
 
-READING = StructType.fromDDL("event_id LONG NOT NULL, user_id LONG NOT NULL, value DOUBLE NOT NULL")
+READING = StructType().add("event_id", "long", False).add("user_id", "long", False).add("value", "double", False)
 
 
 def topic(t: Tables, rows: DataFrame) -> str:

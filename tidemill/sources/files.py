@@ -71,6 +71,11 @@ def read_prefix(spark: SparkSession, uri: str, schema: StructType | str, **optio
     return read_csv(spark, uri, schema, **options).withColumn("file_path", F.col("_metadata.file_path"))
 
 
+def _local(path: Column) -> Column:
+    """Local paths without their scheme, which is written with one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def _fold(path: str) -> str:
     while "//" in path:
         path = path.replace("//", "/")
@@ -101,10 +106,12 @@ def rows_per_file(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
 
     Files without rows have no group; naming the ``paths`` adds them with 0.
     """
-    counted = df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("n_rows"))
+    path = _local(F.col("_metadata.file_path")).alias("file_path")
+    counted = df.groupBy(path).agg(F.count("*").alias("n_rows"))
     if paths is None:
         return counted
     wanted = df.sparkSession.createDataFrame([(p,) for p in paths], "file_path string")
+    wanted = wanted.select(_local(F.col("file_path")).alias("file_path"))
     return wanted.join(counted, "file_path", "left").fillna(0, ["n_rows"])
 
 

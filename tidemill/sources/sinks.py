@@ -78,7 +78,13 @@ def overwrite(df: DataFrame, name: str, root: str | None = None) -> None:
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replaces only the partitions that occur in ``df``; ``df`` must not read the table."""
-    fitted(df, name).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    usual = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        fitted(df, name).write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(key, usual)
 
 
 def insert_select(spark: SparkSession, sql: str, name: str, **tables: DataFrame) -> None:
