@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import aggregates as A, ordering as O, shape as P
 from tidemill.plans import all_queries
+from tidemill.plans.registry import Tables
 from tidemill.session import build_session
 
 REGISTERED = [
@@ -25,13 +26,13 @@ REGISTERED = [
 
 def headline(spark, folder: str) -> dict:
     """The four query shapes with published numbers, on their nearest tables."""
-    read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    tables = Tables(spark, folder)
     queries = all_queries()
     return {
-        "point_filter": lambda: P.eq_filter(read("lineitem"), "l_suppkey", 7).select("l_suppkey"),
+        "point_filter": lambda: P.eq_filter(tables.lineitem, "l_suppkey", 7).select("l_suppkey"),
         "four_table_join": lambda: queries["lines_of_chosen_customers"].run(spark, folder),
-        "top_ten_by_count": lambda: O.top_by_count(read("orders"), ["o_custkey"], 10),
-        "group_count": lambda: A.count_by(read("lineitem"), ["l_returnflag"]).orderBy("l_returnflag"),
+        "top_ten_by_count": lambda: O.top_by_count(tables.orders, ["o_custkey"], 10),
+        "group_count": lambda: A.count_by(tables.lineitem, ["l_returnflag"]).orderBy("l_returnflag"),
     }
 
 

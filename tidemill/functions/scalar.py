@@ -73,6 +73,16 @@ def money(col: Column | str, precision: int = 18, scale: int = 2) -> Column:
     return _c(col).cast(f"decimal({precision},{scale})")
 
 
+def two_decimals(col: Column | str) -> Column:
+    """Fixed-point amount from a double that holds two decimals.
+
+    Goes by whole hundredths, which is several times faster than the cast by way of text; a third
+    decimal would be rounded in binary, so other doubles should use ``money``.
+    """
+    hundredths = F.round(_c(col) * 100).cast("bigint").cast("decimal(15,0)")
+    return (hundredths * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)")
+
+
 def mean_money(col: Column | str) -> Column:
     """Mean of a fixed-point column from its exact sum; null when there are no values."""
     return F.sum(_c(col)).cast("double") / F.nullif(F.count(_c(col)), F.lit(0)).cast("double")

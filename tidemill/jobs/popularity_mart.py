@@ -61,10 +61,14 @@ def raw_to_dds(spark: SparkSession, root: str, database: str) -> None:
 
 
 def dds_to_mart(spark: SparkSession, root: str, database: str) -> DataFrame:
-    """Recounts popularity and upserts it into the mart by product."""
+    """Recounts popularity and upserts it into the mart by product.
+
+    The upsert key of the items makes (order, product) unique.
+    """
     mart = f"{database}.product_popularity"
     ensure_table(spark, mart, MART, root)
-    counted = fitted(popularity(spark.table(f"{database}.order_items"), spark.table(f"{database}.products")), mart)
+    items, products = spark.table(f"{database}.order_items"), spark.table(f"{database}.products")
+    counted = fitted(popularity(items, products, one_row_per_order=True), mart)
     overwrite(upsert(spark.table(mart), counted, ["product_id"], ["product_id"]), mart, root)
     return spark.table(mart)
 

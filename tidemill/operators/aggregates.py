@@ -163,17 +163,20 @@ def load_by_weekday(trips: DataFrame, ts: str, boarded: str, seats: str, digits:
 
 def popularity(
     items: DataFrame, products: DataFrame, product: str = "product_id", name: str = "product_name",
-    order: str = "order_id", quantity: str = "quantity", price: str = "price",
+    order: str = "order_id", quantity: str = "quantity", price: str = "price", one_row_per_order: bool = False,
 ) -> DataFrame:
     """Units, revenue, orders and mean price of every product that was sold.
 
     Items are summed by product before names are joined, so the join sees one row per product.
+    ``one_row_per_order`` says that an order names a product once; orders then need no shuffle of
+    their own to be counted.
     """
     qty, cost = F.col(quantity), F.col(price)
+    orders = F.count(order) if one_row_per_order else F.count_distinct(order)
     sold = items.groupBy(product).agg(
         F.sum(qty).cast("long").alias("total_quantity_sold"),
         F.sum(qty * cost).cast("decimal(24,2)").alias("total_revenue"),
-        F.count_distinct(order).alias("order_count"),
+        orders.alias("order_count"),
         F.round(F.sum(cost) / F.count(cost), 2).cast("decimal(18,2)").alias("avg_price"),
     )
     return products.select(product, name).join(sold, product)

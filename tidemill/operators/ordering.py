@@ -195,10 +195,10 @@ def median_by(
     above the limit, values are counted first and the middle is found by position.
     """
     present = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
-    counts = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    if group_sizes(counts, keys)[0] <= max_group_rows:
+    if group_sizes(present, keys)[0] <= max_group_rows:
         return present.groupBy(*keys).agg(F.percentile("_v", 0.5).alias(name))
 
+    counts = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     placed = prefix_sum(counts, keys, [asc("_v")], F.col("_n"), "_before", max_group_rows)
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_all")
