@@ -146,6 +146,20 @@ def test_only_named_partitions_are_replaced(spark, tmp_path, rows_of):
     assert rows_of(spark.table("part_test.t")) == [(1, "mon"), (3, "tue")]
 
 
+def test_upsert_touches_its_partitions_only(spark, tmp_path, rows_of):
+    name = "touch_test.t"
+    K.ensure_table(spark, name, "k INT, v STRING, part INT", str(tmp_path), ["part"])
+    K.append(spark.sql("SELECT id AS k, 'a' AS v, id div 10 AS part FROM range(30)"), name)
+    files = lambda part: set(spark.table(name).filter(f"part = {part}").inputFiles())
+    untouched, touched = files(0), files(1)
+    new = spark.sql("SELECT k, v, 1 AS part, n FROM VALUES (11, 'b', 1), (11, 'c', 2), (19, 'd', 1) AS t(k, v, n)")
+    for _ in range(2):
+        K.upsert_table(spark, name, new, ["k"], ["n"], str(tmp_path), ["part"])
+    assert files(0) == untouched and files(1) != touched
+    expected = [(i, {11: "c", 19: "d"}.get(i, "a"), i // 10) for i in range(30)]
+    assert rows_of(spark.table(name)) == sorted(expected, key=repr)
+
+
 def test_customer_totals_rerun(spark, tmp_path, rows_of):
     users = spark.createDataFrame([("Ann", "x", "c", 30, "1"), ("Bo", "y", "c", 31, "2")], customer_totals.USERS)
     orders = spark.sql("SELECT 1 AS id, 'tea' AS name, 2 AS count, 5.00 AS price, 10.00 AS total_cost, '1' AS card_number")

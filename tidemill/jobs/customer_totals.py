@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.operators.aggregates import customer_totals
-from tidemill.operators.changes import new_rows, upsert
-from tidemill.sources.sinks import append, ensure_table, fitted, overwrite
+from tidemill.operators.changes import new_rows
+from tidemill.sources.sinks import append, ensure_table, fitted, upsert_table
 
 # Table columns and keys.
 USERS = "name STRING, surname STRING, city STRING, age INT, card_number STRING"
@@ -38,5 +38,5 @@ def run(
     totals = customer_totals(
         spark.table(f"{database}.users"), spark.table(f"{database}.orders"), "card_number", "name", "total_cost"
     )
-    overwrite(upsert(spark.table(mart), fitted(totals, mart), ["card_number"], ["card_number"]), mart, root)
+    upsert_table(spark, mart, fitted(totals, mart), ["card_number"], ["card_number"], root)
     return spark.table(mart)

@@ -6,13 +6,12 @@ batch is upserted once even when a run stops half-way, and a run without new fil
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemill.operators.aggregates import popularity
-from tidemill.operators.changes import upsert
 from tidemill.operators.quality import rules_for
-from tidemill.sources.sinks import ensure_table, fitted, overwrite
+from tidemill.sources.sinks import ensure_table, fitted, upsert_table
 from tidemill.streaming.files import POSITION, ingest_checked_files, stored_schema
 
 # Table columns, file patterns and upsert keys.
@@ -25,6 +24,9 @@ TABLES = {
         ["order_id", "product_id"],
     ),
 }
+# Orders are stored in blocks of ids, so that a batch replaces the blocks it falls into only.
+BLOCKED = {"orders", "order_items"}
+ORDERS_PER_BLOCK = 1_000_000
 MART = (
     "product_id INT, product_name STRING, total_quantity_sold BIGINT, "
     "total_revenue DECIMAL(24,2), order_count BIGINT, avg_price DECIMAL(18,2)"
@@ -49,11 +51,16 @@ def raw_to_dds(spark: SparkSession, root: str, database: str) -> None:
     for name, (ddl, _, keys) in TABLES.items():
         schema = StructType.fromDDL(ddl)
         table = f"{database}.{name}"
-        ensure_table(spark, table, schema, root)
+        blocks = ["order_block"] if name in BLOCKED else []
+        ensure_table(spark, table, f"{ddl}, order_block INT" if blocks else ddl, root, blocks)
 
-        def put(batch: DataFrame, _: int, table=table, keys=keys) -> None:
-            if not batch.isEmpty():
-                overwrite(upsert(spark.table(table), batch, keys, ["batch_id", *POSITION]), table, root)
+        def put(batch: DataFrame, _: int, table=table, keys=keys, blocks=blocks) -> None:
+            if batch.isEmpty():
+                return
+            if blocks:
+                block = F.floor(F.col("order_id") / ORDERS_PER_BLOCK).cast("int")
+                batch = batch.withColumn("order_block", block)
+            upsert_table(spark, table, batch, keys, ["batch_id", *POSITION], root, blocks)
 
         raw = spark.readStream.schema(stored_schema(schema)).parquet(f"{root}/raw/{name}")
         query = raw.writeStream.foreachBatch(put).option("checkpointLocation", f"{root}/dds_checkpoints/{name}")
@@ -69,7 +76,7 @@ def dds_to_mart(spark: SparkSession, root: str, database: str) -> DataFrame:
     ensure_table(spark, mart, MART, root)
     items, products = spark.table(f"{database}.order_items"), spark.table(f"{database}.products")
     counted = fitted(popularity(items, products, one_row_per_order=True), mart)
-    overwrite(upsert(spark.table(mart), counted, ["product_id"], ["product_id"]), mart, root)
+    upsert_table(spark, mart, counted, ["product_id"], ["product_id"], root)
     return spark.table(mart)
 
 

@@ -15,8 +15,8 @@ from tidemill.operators.shape import dedup_keys, last_per_key
 
 def new_rows(target: DataFrame, new: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """The rows an insert would add: first of each key in ``new``, when not in ``target``."""
-    first = dedup_keys(not_in(new, target, keys), keys, order_by or new.columns)
-    return first.select(*target.columns)
+    first = dedup_keys(new, keys, order_by or new.columns)
+    return not_in(first, target, keys).select(*target.columns)
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.operators.ordering import asc, number_rows, same
 from tidemill.operators.shape import dedup_rows
+from tidemill.session import materialise
 
 
 @dataclass(frozen=True)
@@ -29,7 +30,8 @@ def new_members(raw: DataFrame, dim: Dimension) -> DataFrame:
     found = raw.select(*[F.col(r).alias(n) for r, n in dim.columns.items()]).dropna(how="all").distinct()
     known = dim.existing.select(*[F.col(n).alias(f"_k_{n}") for n in names])
     unknown = found.join(known, same([found[n] for n in names], [known[f"_k_{n}"] for n in names]), "left_anti")
-    numbered = number_rows(unknown, [asc(n) for n in names], name="_n")
+    # Stored, so that the raw rows are read once and not again for each step of the numbering.
+    numbered = number_rows(materialise(unknown, "members"), [asc(n) for n in names], name="_n")
     top = dim.existing.agg(F.coalesce(F.max(F.col(dim.key).cast("long")), F.lit(0).cast("long"))).scalar()
     return numbered.select((F.col("_n") + top).alias(dim.key), *names)
 

@@ -74,7 +74,10 @@ def prefix_sum(
     name: str = "before",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Adds the sum of ``weight`` (default: row count) over the rows of the key before this one."""
+    """Adds the sum of ``weight`` (default: row count) over the rows of the key before this one.
+
+    ``df`` is read more than once; a costly one should be stored first.
+    """
     weight = F.lit(1).cast("long") if weight is None else weight
     earlier = (Window.unboundedPreceding, -1)
     largest, total = group_sizes(df, keys)
@@ -111,11 +114,15 @@ def rank_rows(
 ) -> DataFrame:
     """Rank by one column; ties share a rank and the next rank leaves a gap.
 
-    Works on one row per distinct value, so a value shared by most rows costs nothing extra.
+    Above the limit, ranks are found on one row per distinct value and joined back, so a value
+    shared by most rows costs nothing extra.
     """
-    counts = df.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_n"))
-    order = [desc("_value") if descending else asc("_value")]
-    ranked = prefix_sum(counts, [], order, F.col("_n"), name, max_group_rows)
+    order = desc if descending else asc
+    if df.count() <= max_group_rows:
+        return df.withColumn(name, F.rank().over(Window.orderBy(order(column))).cast("long"))
+
+    counts = materialise(df.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_n")), "counts")
+    ranked = prefix_sum(counts, [], [order("_value")], F.col("_n"), name, max_group_rows)
     ranked = ranked.select("_value", (F.col(name) + 1).alias(name))
     return df.join(ranked, df[column].eqNullSafe(ranked["_value"])).drop("_value")
 
@@ -198,7 +205,7 @@ def median_by(
     if group_sizes(present, keys)[0] <= max_group_rows:
         return present.groupBy(*keys).agg(F.percentile("_v", 0.5).alias(name))
 
-    counts = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    counts = materialise(present.groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "counts")
     placed = prefix_sum(counts, keys, [asc("_v")], F.col("_n"), "_before", max_group_rows)
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     totals = totals.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "_all")

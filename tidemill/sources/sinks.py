@@ -9,7 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemill.session import shared_dir
+from tidemill.operators.changes import upsert
+from tidemill.session import materialise, shared_dir
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -87,6 +88,27 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
         conf.set(key, usual)
 
 
+def upsert_table(
+    spark: SparkSession, name: str, new: DataFrame, keys: list[str], order_by: list[str],
+    root: str | None = None, partitions: list[str] = (),
+) -> None:
+    """Upserts into a catalog table; the last new row in ``order_by`` wins.
+
+    Where the table is partitioned by ``partitions``, which must follow from the keys, only the
+    partitions that the new rows fall into are read and replaced; a small batch then costs little
+    however large the table is. Without them the table is written anew. Both can be repeated.
+    """
+    # Micro-batches have a session of their own; the table's is the one whose readers must see it.
+    target = spark.table(name)
+    if not partitions:
+        overwrite(upsert(target, new, keys, order_by), name, root)
+        return
+    # No more rows than the table has partitions; as a broadcast it prunes the scan.
+    touched = F.broadcast(new.select(*partitions).distinct())
+    near = target.join(touched, list(partitions), "left_semi").select(*target.columns)
+    overwrite_partitions(materialise(upsert(near, new, keys, order_by), "upsert"), name)
+
+
 def insert_select(spark: SparkSession, sql: str, name: str, **tables: DataFrame) -> None:
     """Appends the result of a query, columns matched by name."""
     append(spark.sql(sql, **tables), name)

@@ -75,7 +75,9 @@ def ingest_checked_files(
                 bad = bad.unionByName(copies.select(*names, "file_path", note))
             good = rows.filter(F.size("errors") == 0)
             if whole_file:
-                good = good.join(bad.select("file_path").distinct(), "file_path", "left_anti")
+                # No more rows than the batch has files, whose list the driver holds anyway.
+                failed = F.broadcast(bad.select("file_path").distinct())
+                good = good.join(failed, "file_path", "left_anti")
             good.select(*typed, *POSITION).write.mode("overwrite").parquet(f"{dst}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
         finally:
