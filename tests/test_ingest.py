@@ -142,7 +142,7 @@ def test_a_failed_overwrite_changes_nothing(spark, tmp_path, rows_of):
 def test_only_named_partitions_are_replaced(spark, tmp_path, rows_of):
     K.ensure_table(spark, "part_test.t", "v INT, day STRING", str(tmp_path), ["day"])
     K.append(spark.sql("SELECT 1 AS v, 'mon' AS day UNION ALL SELECT 2, 'tue'"), "part_test.t")
-    K.overwrite_partitions(spark.sql("SELECT 3 AS v, 'tue' AS day"), "part_test.t")
+    K.overwrite_partitions(spark.sql("SELECT 3 AS v, 'tue' AS day"), "part_test.t", ["day"])
     assert rows_of(spark.table("part_test.t")) == [(1, "mon"), (3, "tue")]
 
 

@@ -1,5 +1,9 @@
 """Every registered query against its SQL, and the list of operators they cover."""
 
+import re
+from importlib import import_module
+from pathlib import Path
+
 import pytest
 
 from tests.oracle_check import compare, connect
@@ -32,3 +36,11 @@ def test_entry_points(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_coverage_list_is_up_to_date():
+    text = (Path(__file__).parents[1] / "COVERAGE.md").read_text()
+    assert [n for n in QUERIES if f"`{n}`" not in text] == []
+    for function in re.findall(r"`((?:sources|operators|streaming|functions|jobs)\.\w+\.\w+)`", text):
+        module, _, name = function.rpartition(".")
+        assert hasattr(import_module(f"tidemill.{module}"), name), function

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemill.functions import scalar as S
-from tidemill.operators import aggregates as A, changes as C, graph as G, ordering as O, shape as P
+from tidemill.operators import aggregates as A, changes as C, graph as G, joins as J, ordering as O, shape as P
 from tidemill.plans.aggregates import as_double
 from tidemill.plans.registry import Tables, query
 from tidemill.session import shared_dir
@@ -185,6 +185,27 @@ def upserted_positions(t: Tables):
     return C.upsert(empty, rows, ["l_orderkey", "l_partkey"], ["l_linenumber", "l_suppkey", "l_extendedprice"])
 
 
+@query("K7 K16", f"""
+    SELECT *, CAST(o_orderkey // 1000 AS INTEGER) AS block FROM ({TARGET} UNION ALL
+        SELECT o_orderkey, o_custkey, 'X', o_totalprice + 2 FROM orders WHERE o_orderstatus = 'P')""")
+def upserted_blocks(t: Tables):
+    name = f"{database()}.orders"
+    block = F.expr("CAST(o_orderkey div 1000 AS INT)")
+    K.ensure_table(t.spark, name, f"{ORDER}, block INT", partition_by=["block"])
+    K.append(target(t).withColumn("block", block), name)
+    new = J.not_in(later(t), target(t), ["o_orderkey"]).withColumn("block", block)
+    K.upsert_table(t.spark, name, new, ["o_orderkey"], ["version"], partitions=["block"])
+    return t.spark.table(name)
+
+
+@query("K3", "SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey = 7")
+def clustered_point_filter(t: Tables):
+    name = f"{database()}.lines"
+    K.ensure_table(t.spark, name, "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_suppkey BIGINT")
+    K.overwrite(t.lineitem, name, cluster_by=["l_suppkey", "l_orderkey", "l_partkey"])
+    return P.eq_filter(t.spark.table(name), "l_suppkey", 7)
+
+
 @query("K8", """
     SELECT c_custkey, upper(c_name) AS c_name FROM customer""")
 def merged_nodes(t: Tables):

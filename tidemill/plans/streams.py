@@ -110,12 +110,12 @@ def file_by_file(t: Tables):
 
 @query("R6 S14 K6", """
     SELECT event_id, user_id, ts FROM events
-    WHERE ts >= (SELECT max(ts) FROM events WHERE event_id % 2 = 0 AND ts < TIMESTAMP '2024-01-20') - INTERVAL 1 DAY
-      AND NOT (event_id % 2 = 0 AND ts < TIMESTAMP '2024-01-20')""")
+    WHERE ts >= (SELECT max(ts) FROM events WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-20') - INTERVAL 1 DAY
+      AND NOT (event_type <> 'error' AND ts < TIMESTAMP '2024-01-20')""")
 def synced_events(t: Tables):
-    rows = t.events.select("event_id", "user_id", "ts")
-    known = rows.filter((F.col("event_id") % 2 == 0) & (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")))
-    return SF.sync_new(rows, known, "ts", ["event_id"], "1 day")
+    before = P.before(t.events, "ts", "2024-01-20")
+    known = before.filter(F.col("event_type") != "error").select("event_id", "ts")
+    return SF.sync_new(t.events.select("event_id", "user_id", "ts"), known, "ts", ["event_id"], "1 day")
 
 
 LAST_ITEMS = """(SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem

@@ -29,7 +29,6 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
         if master.startswith("local"):
             settings["spark.sql.shuffle.partitions"] = "8"
             settings["spark.ui.enabled"] = "false"
-            settings["spark.sql.parquet.aggregatePushdown"] = "true"
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -58,12 +58,22 @@ def fitted(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def append(df: DataFrame, name: str) -> None:
+def laid_out(df: DataFrame, cluster_by: list[str]) -> DataFrame:
+    """Rows in value order over all files, so that a filter on the columns skips most of them.
+
+    The list should end with a column that varies: a frequent value can then span many files.
+    """
+    if not cluster_by:
+        return df
+    return df.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
+
+
+def append(df: DataFrame, name: str, cluster_by: list[str] = ()) -> None:
     """Adds the rows to a catalog table."""
-    fitted(df, name).write.mode("append").insertInto(name)
+    laid_out(fitted(df, name), cluster_by).write.mode("append").insertInto(name)
 
 
-def overwrite(df: DataFrame, name: str, root: str | None = None) -> None:
+def overwrite(df: DataFrame, name: str, root: str | None = None, cluster_by: list[str] = ()) -> None:
     """Replaces all rows of a table, also when ``df`` reads that table.
 
     The rows go to a new folder first; then the table is pointed at it. A failed write leaves the
@@ -72,18 +82,22 @@ def overwrite(df: DataFrame, name: str, root: str | None = None) -> None:
     spark = df.sparkSession
     root = root or f"{shared_dir(spark)}/tables"
     path = version_path(name, root)
-    fitted(df, name).write.parquet(path)
+    laid_out(fitted(df, name), cluster_by).write.parquet(path)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)
 
 
-def overwrite_partitions(df: DataFrame, name: str) -> None:
-    """Replaces only the partitions that occur in ``df``; ``df`` must not read the table."""
+def overwrite_partitions(df: DataFrame, name: str, partitions: list[str]) -> None:
+    """Replaces only the partitions that occur in ``df``; ``df`` must not read the table.
+
+    Rows are gathered by partition before the write, a large one split over several tasks, so that
+    neither many small files nor one slow task come about.
+    """
     conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
     usual = conf.get(key)
     conf.set(key, "dynamic")
     try:
-        fitted(df, name).write.insertInto(name, overwrite=True)
+        fitted(df, name).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
     finally:
         conf.set(key, usual)
 
@@ -106,7 +120,7 @@ def upsert_table(
     # No more rows than the table has partitions; as a broadcast it prunes the scan.
     touched = F.broadcast(new.select(*partitions).distinct())
     near = target.join(touched, list(partitions), "left_semi").select(*target.columns)
-    overwrite_partitions(materialise(upsert(near, new, keys, order_by), "upsert"), name)
+    overwrite_partitions(materialise(upsert(near, new, keys, order_by), "upsert"), name, list(partitions))
 
 
 def insert_select(spark: SparkSession, sql: str, name: str, **tables: DataFrame) -> None:

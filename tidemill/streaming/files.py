@@ -109,6 +109,7 @@ def sync_new(source: DataFrame, target: DataFrame, ts: str, keys: list[str], loo
     The mark comes from the target, not from the clock, so nothing is missed after a pause; rows
     read twice because of the look-back drop out by key.
     """
-    mark = target.agg(F.max(ts) - F.expr(f"INTERVAL {look_back}")).scalar()
-    recent = source.filter(mark.isNull() | (F.col(ts) >= mark))
+    first = F.lit("0001-01-01").cast(target.schema[ts].dataType)
+    mark = target.agg(F.coalesce(F.max(ts) - F.expr(f"INTERVAL {look_back}"), first)).scalar()
+    recent = source.filter(F.col(ts) >= mark)
     return recent.join(target.select(*keys), keys, "left_anti")
