@@ -44,6 +44,11 @@ def test_one_file_per_trigger_then_archived(spark, tmp_path):
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    moved = sorted(p.name for p in (tmp_path / "done").rglob("*.csv"))
+    assert moved and not {p.name for p in src.glob("*.csv")} & set(moved)
+    write(src / "users_9.csv", "id,value\n9,1\n")
+    SF.ingest_new_files(spark, str(src), str(tmp_path / "t"), checkpoint, schema, **options).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [0, 1, 2, 9]
 
 
 PRODUCTS = "product_id,product_name\n1,tea\n2,milk\n"

@@ -202,6 +202,21 @@ def test_constraints(spark):
     assert report["code must be unique"] == 1
 
 
+def test_course_constraints(spark):
+    reviews = spark.createDataFrame([(1, 1, 5), (1, 1, 4), (2, 1, 6), (2, 2, None)], "student_id int, course_id int, rating int")
+    report = V.check_constraints(reviews, V.rules_for("course_reviews"), [["student_id", "course_id"]])
+    assert {r["rule"]: r["n_broken"] for r in report.collect()} == {
+        "rating is required": 1, "rating must be from 1 to 5": 1, "student_id, course_id must be unique": 1,
+    }
+    enrolled = spark.createDataFrame([("active", None), ("gone", "paid"), ("paused", "free")], "status string, payment_status string")
+    assert V.validate(enrolled, V.rules_for("students_courses")).count() == 2
+
+
+def test_top_spenders(spark, rows_of):
+    moves = spark.createDataFrame([("a", -5), ("a", 100), ("a", -1), ("b", -9), ("c", 3)], "client string, amount int")
+    assert rows_of(A.top_spenders(moves, "client", "amount")) == [("a", -6, 2), ("b", -9, 1)]
+
+
 def test_normal_forms(spark, rows_of):
     staff = spark.createDataFrame([(1, "IT", "Oleg"), (2, "IT", "Oleg"), (3, "HR", "Anna")],
                                   "id int, department string, head string")

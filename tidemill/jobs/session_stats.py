@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.operators.aggregates import session_summary
 from tidemill.operators.changes import new_rows
 from tidemill.operators.joins import count_children
-from tidemill.operators.shape import dedup_rows, last_per_key, non_zero
+from tidemill.operators.shape import last_per_key, non_zero
 from tidemill.sources.sinks import append, ensure_table, fitted, overwrite
 
 # Table columns.
@@ -20,13 +20,13 @@ def session_stats(
 ) -> DataFrame:
     """Duration and number of events per session, only where both are above zero.
 
-    Of several rows for a session the last in ``order_by`` counts. Repeated events count once by
+    Of several rows for a session the last in ``order_by`` counts, so no row comes twice. Repeated events count once by
     ``event_id``; ``None`` counts every row. Events of no known session are left out.
     """
     last = last_per_key(sessions, ["session_id"], order_by).select("session_id", "duration_sec")
     once = events if event_id is None else events.select("session_id", event_id).distinct()
     counted = count_children(last, once, "session_id", "event_count")
-    return non_zero(dedup_rows(counted), ["duration_sec", "event_count"])
+    return non_zero(counted, ["duration_sec", "event_count"])
 
 
 def run(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions.scalar import mean_money, month_start, seconds_between, weekday_name
 from tidemill.operators.joins import join_roles, left_default
+from tidemill.operators.ordering import MAX_GROUP_ROWS, rank_rows
 from tidemill.operators.shape import case_buckets
 
 
@@ -108,6 +109,12 @@ def sum_product(df: DataFrame, a: str, b: str, key: str, name: str = "total") ->
     return df.groupBy(key).agg(F.sum(F.col(a) * F.col(b)).alias(name))
 
 
+def top_spenders(df: DataFrame, client: str, amount: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Clients by money going out, largest first: the sum of their negative amounts, and its rank."""
+    spent = df.filter(F.col(amount) < 0).groupBy(client).agg(F.sum(amount).alias("spent"))
+    return rank_rows(spent, "spent", False, "rank", max_group_rows)
+
+
 def mean_group_count(df: DataFrame, key: str, name: str = "mean_count") -> DataFrame:
     """Mean number of rows per key."""
     return count_by(df, [key], "_n").agg(F.avg("_n").alias(name))

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.session import materialise
 
-MAX_GROUP_ROWS = 10_000_000
+# What one task sorts in good time; also the size of a chunk.
+MAX_GROUP_ROWS = 2_000_000
 CHUNK = "_chunk"
 
 
@@ -85,7 +86,7 @@ def prefix_sum(
         window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(*earlier)
         return df.withColumn(name, F.coalesce(F.sum(weight).over(window), F.lit(0)))
 
-    ranged = split_ranges(df, keys, order_by, math.ceil(total / max_group_rows))
+    ranged = split_ranges(df, keys, order_by, math.ceil(total / max(max_group_rows, 1)))
     totals = ranged.groupBy(*keys, CHUNK).agg(F.sum(weight).alias("_total"))
     chunks = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*earlier)
     carried = totals.withColumn("_carried", F.sum("_total").over(chunks)).filter("_carried > 0")
@@ -145,7 +146,7 @@ def _neighbour(df, part, order_by, column, name, step, max_group_rows):
     if largest <= max_group_rows:
         return df.withColumn(name, shift(column).over(Window.partitionBy(*part).orderBy(*order_by)))
 
-    ranged = split_ranges(df, part, order_by, math.ceil(total / max_group_rows))
+    ranged = split_ranges(df, part, order_by, math.ceil(total / max(max_group_rows, 1)))
     inside = Window.partitionBy(*part, CHUNK).orderBy(*order_by)
     marked = (
         ranged.withColumn(name, shift(column).over(inside))

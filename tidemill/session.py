@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "tidemill", master: str | None = None, **conf: str) -> SparkSession:
+# Shuffled data per partition: fits a task's memory, and keeps the number of tasks moderate.
+PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def build_session(
+    app: str = "tidemill", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with UTC, ANSI casts and adaptive plans; ``conf`` overrides any setting.
 
-    Shuffle partitions stay at the cluster's own value: adaptive execution merges small ones, so
-    a large setting is safe. ``local`` masters get a small one.
+    ``shuffle_bytes``, the size of the largest shuffle to expect, sets the number of shuffle
+    partitions; adaptive execution merges those that turn out small. Without it the cluster's own
+    setting stays, and ``local`` masters get a small one.
     """
     builder = SparkSession.builder.appName(app)
     settings = {
@@ -29,6 +37,8 @@ def build_session(app: str = "tidemill", master: str | None = None, **conf: str)
         if master.startswith("local"):
             settings["spark.sql.shuffle.partitions"] = "8"
             settings["spark.ui.enabled"] = "false"
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(max(8, math.ceil(shuffle_bytes / PARTITION_BYTES)))
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -91,7 +91,8 @@ def overwrite_partitions(df: DataFrame, name: str, partitions: list[str]) -> Non
     """Replaces only the partitions that occur in ``df``; ``df`` must not read the table.
 
     Rows are gathered by partition before the write, a large one split over several tasks, so that
-    neither many small files nor one slow task come about.
+    neither many small files nor one slow task come about. Partitions are replaced one after the
+    other; after a failure in between, a repeat completes the work.
     """
     conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
     usual = conf.get(key)
