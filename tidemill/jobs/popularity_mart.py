@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tidemill.operators.aggregates import popularity
 from tidemill.operators.quality import rules_for
-from tidemill.sources.sinks import ensure_table, fitted, upsert_table
+from tidemill.sources.sinks import ensure_table, fitted, table_id, upsert_table
 from tidemill.streaming.files import POSITION, ingest_checked_files, stored_schema
 
 # Table columns, file patterns and upsert keys.
@@ -33,21 +33,30 @@ MART = (
 )
 
 
-def load_raw(spark: SparkSession, src: str | dict[str, str], root: str) -> None:
+def load_raw(
+    spark: SparkSession, src: str | dict[str, str], root: str, archive: str | None = None
+) -> None:
     """New, valid files of each kind to ``root/raw``; the others to ``root/rejects``.
 
-    ``src`` is one folder whose file names tell the kind, or a folder for each kind.
+    ``src`` is one folder whose file names tell the kind, or a folder for each kind; files that were
+    read move to ``archive`` when it is given.
     """
+    running = []
     for name, (ddl, pattern, _) in TABLES.items():
         folder, glob = (src, pattern) if isinstance(src, str) else (src[name], "*.csv")
-        ingest_checked_files(
+        running.append(ingest_checked_files(
             spark, folder, f"{root}/raw/{name}", f"{root}/rejects/{name}",
-            StructType.fromDDL(ddl), rules_for(name), glob=glob,
-        ).awaitTermination()
+            StructType.fromDDL(ddl), rules_for(name), glob=glob, archive=archive,
+        ))
+    for query in running:
+        query.awaitTermination()
 
 
 def raw_to_dds(spark: SparkSession, root: str, database: str) -> None:
-    """Upserts each raw batch not seen before; the later place in the files wins."""
+    """Upserts each raw batch not seen before; the later place in the files wins.
+
+    The checkpoint belongs to one table: a table made anew is filled from all raw batches.
+    """
     for name, (ddl, _, keys) in TABLES.items():
         schema = StructType.fromDDL(ddl)
         table = f"{database}.{name}"
@@ -62,8 +71,9 @@ def raw_to_dds(spark: SparkSession, root: str, database: str) -> None:
                 batch = batch.withColumn("order_block", block)
             upsert_table(spark, table, batch, keys, ["batch_id", *POSITION], root, blocks)
 
+        seen = f"{root}/dds_checkpoints/{name}-{table_id(spark, table)}"
         raw = spark.readStream.schema(stored_schema(schema)).parquet(f"{root}/raw/{name}")
-        query = raw.writeStream.foreachBatch(put).option("checkpointLocation", f"{root}/dds_checkpoints/{name}")
+        query = raw.writeStream.foreachBatch(put).option("checkpointLocation", seen)
         query.trigger(availableNow=True).start().awaitTermination()
 
 
@@ -80,7 +90,9 @@ def dds_to_mart(spark: SparkSession, root: str, database: str) -> DataFrame:
     return spark.table(mart)
 
 
-def run(spark: SparkSession, src: str | dict[str, str], root: str, database: str) -> DataFrame:
-    load_raw(spark, src, root)
+def run(
+    spark: SparkSession, src: str | dict[str, str], root: str, database: str, archive: str | None = None
+) -> DataFrame:
+    load_raw(spark, src, root, archive)
     raw_to_dds(spark, root, database)
     return dds_to_mart(spark, root, database)

@@ -65,10 +65,11 @@ BRANDS = """(SELECT row_number() OVER (ORDER BY p_brand) AS brand_id, p_brand AS
              FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#1'))"""
 
 
-@query("J5", f"SELECT p_partkey, p_brand, brand_id FROM part LEFT JOIN {BRANDS} ON p_brand = brand")
+@query("J5", f"SELECT p_partkey, p_brand, brand_id::VARCHAR AS brand_id FROM part LEFT JOIN {BRANDS} ON p_brand = brand")
 def brand_keys(t: Tables):
     names = t.part.filter(F.col("p_brand") != "Brand#1").select(F.col("p_brand").alias("brand")).distinct()
     brands = O.number_rows(names, [O.asc("brand")], name="brand_id")
+    brands = brands.withColumn("brand_id", F.col("brand_id").cast("string"))
     return J.lookup_key(t.part.select("p_partkey", "p_brand"), brands, "p_brand", "brand", "brand_id")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -12,6 +13,9 @@ from pyspark.sql.types import StructType
 from tidemill.operators.changes import upsert
 from tidemill.session import materialise, shared_dir
 
+_OVERWRITE_MODE = threading.Lock()
+_TABLE_ID = "tidemill.id"
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """CSV part files with a header, written by all tasks."""
@@ -19,6 +23,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
+def append_jdbc(df: DataFrame, url: str, table: str, connections: int = 16, **options: str) -> None:
+    """Adds the rows to a database table over at most ``connections`` connections at a time."""
+    writer = df.coalesce(connections).write.format("jdbc").mode("append")
+    writer.options(url=url, dbtable=table, **options).save()
+
+
 def write_new(df: DataFrame, path: str) -> bool:
     """Writes unless the path already holds data; tells whether it wrote."""
     try:
@@ -44,10 +54,18 @@ def ensure_table(
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         location = version_path(name, root)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{location}'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{location}' "
+            f"TBLPROPERTIES ('{_TABLE_ID}' = '{uuid.uuid4().hex}')"
+        )
     return spark.table(name)
 
 
+def table_id(spark: SparkSession, name: str) -> str:
+    """An id given to the table when it was created; a table made anew has another."""
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_TABLE_ID}')").first()["value"]
+
+
 def version_path(name: str, root: str) -> str:
     return f"{root}/{name.replace('.', '/')}/version={uuid.uuid4().hex}"
 
@@ -95,12 +113,13 @@ def overwrite_partitions(df: DataFrame, name: str, partitions: list[str]) -> Non
     other; after a failure in between, a repeat completes the work.
     """
     conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    usual = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        fitted(df, name).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
-    finally:
-        conf.set(key, usual)
+    with _OVERWRITE_MODE:  # a catalog table takes the mode from the session only
+        usual = conf.get(key)
+        conf.set(key, "dynamic")
+        try:
+            fitted(df, name).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
+        finally:
+            conf.set(key, usual)
 
 
 def upsert_table(
