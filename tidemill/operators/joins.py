@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemill.operators.ordering import same
 
 MAX_BUCKET_ROWS = 50_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 def inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -79,8 +80,10 @@ def band_self_join(
     earlier = later.withColumn("_bucket", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)))
 
     sizes = later.groupBy(*meet).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_bucket_rows)
-    if not sizes.isEmpty():
+    n_hot = sizes.count()
+    if n_hot:
         hot = sizes.select(*meet, F.ceil(F.col("_n") / max_bucket_rows).cast("int").alias("_salts"))
+        hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
         salts = F.coalesce("_salts", F.lit(1))
         later = later.join(hot, meet, "left").withColumn("_salt", F.pmod(F.xxhash64("_id"), salts).cast("int"))
         spread = F.explode(F.sequence(F.lit(0), salts - 1))

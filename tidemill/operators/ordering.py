@@ -169,7 +169,7 @@ def _neighbour(df, part, order_by, column, name, step, max_group_rows):
 
 def ordered_array(
     df: DataFrame, keys: list[str], column: str, keep_nulls: bool = True, name: str = "items",
-    max_items: int = 100_000, max_group_rows: int = MAX_GROUP_ROWS,
+    max_items: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Values of each key in ascending order, nulls last, in arrays of up to ``max_items``.
 
@@ -186,7 +186,7 @@ def ordered_array(
 
 def string_list(
     df: DataFrame, keys: list[str], column: str, sep: str = ", ", name: str = "items",
-    max_items: int = 100_000, max_group_rows: int = MAX_GROUP_ROWS,
+    max_items: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Values of each key joined into text, ascending, nulls left out; parts as in ordered_array."""
     lists = ordered_array(df, keys, column, False, name, max_items, max_group_rows)

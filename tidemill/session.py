@@ -38,6 +38,8 @@ def build_session(
             settings["spark.sql.shuffle.partitions"] = "8"
             settings["spark.ui.enabled"] = "false"
     if shuffle_bytes:
+        settings["spark.sql.files.maxPartitionBytes"] = str(PARTITION_BYTES)
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
         settings["spark.sql.shuffle.partitions"] = str(max(8, math.ceil(shuffle_bytes / PARTITION_BYTES)))
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
