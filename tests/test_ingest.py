@@ -33,6 +33,22 @@ def test_files_are_taken_once_also_empty_ones(spark, tmp_path):
     assert [(r["id"], r["errors"]) for r in errors] == [("4", ["value must be of type int"])]
 
 
+def test_wrong_headers_and_lines_are_put_aside(spark, tmp_path):
+    src, root = tmp_path / "raw", str(tmp_path / "out")
+    write(src / "a.csv", "id,value\n1,10\n")
+    write(src / "b.csv", "value,id\n20,2\n")
+    write(src / "c.csv", "id,value\n3,30,300\n")
+    write(src / "d.csv", "id,value\n4\n")
+    write(src / "e.csv", "")
+    assert [r["id"] for r in object_store_load.run(spark, str(src), root).collect()] == [1]
+    errors = {os.path.basename(r["file_path"]): r["errors"] for r in spark.read.parquet(f"{root}/rejects").collect()}
+    assert errors["b.csv"] == ["the header is not id,value"]
+    assert errors["c.csv"] == ["the line does not have 2 cells"]
+    assert "value is empty" in errors["d.csv"] and set(errors) == {"b.csv", "c.csv", "d.csv"}
+    with pytest.raises(Exception):
+        R.read_csv(spark, str(src / "b.csv"), "id INT, value INT").collect()
+
+
 def test_one_file_per_trigger_then_archived(spark, tmp_path):
     src = tmp_path / "in"
     for i in range(3):

@@ -239,12 +239,12 @@ def raw_layer(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 @query("E5 R1 R3", """
-    SELECT 'sensor_' || (user_id % 5 + 1) AS sensor_id, date_trunc('second', ts)::TIMESTAMP AS timestamp, value
+    SELECT 'sensor_' || (user_id % 5 + 1) AS sensor_id, ts AS timestamp, value
     FROM events WHERE event_type <> 'error'""")
 def sensor_readings(t: Tables):
     sensor = F.concat(F.lit("sensor_"), F.col("user_id") % 5 + 1).alias("sensor_id")
     known = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
-    rows = t.events.select(sensor, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), known)
+    rows = t.events.select(sensor, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), known)
     path, root = topic(t, rows), t.scratch("sensors")
     for _ in range(2):
         found = sensor_stream.run(t.spark, SM.message_source(t.spark, "text", path), root)

@@ -11,8 +11,9 @@ ROUBLES = "р"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
-    """CSV with a header row. A cell that does not fit its type fails unless ``mode`` is given."""
-    options = {"header": True, "mode": "FAILFAST", **options}
+    """CSV with a header row. A header that differs from the schema fails, and so does a cell that
+    does not fit its type unless ``mode`` is given."""
+    options = {"header": True, "enforceSchema": False, "mode": "FAILFAST", **options}
     return spark.read.schema(schema).options(**options).csv(path)
 
 

@@ -5,6 +5,8 @@ A file without rows is remembered too and not looked at again.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -22,9 +24,10 @@ def new_files(
 ) -> DataFrame:
     """A stream of the CSV files that arrive in ``src``, with the file of each row.
 
-    ``max_files`` limits a micro-batch (1 for file by file); ``archive`` moves read files there.
+    ``max_files`` limits a micro-batch (1 for file by file); ``archive`` moves read files there. A
+    header that differs from the schema stops the stream, so no column is taken for another.
     """
-    reader = spark.readStream.schema(schema).option("header", True).options(**options)
+    reader = spark.readStream.schema(schema).options(**{"header": True, "enforceSchema": False, **options})
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
@@ -45,8 +48,12 @@ def ingest_new_files(
     return append_batches(new_files(spark, src, schema, **options), dst, checkpoint)
 
 
+BROKEN = "_corrupt_record"
+
+
 def as_text(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType()) for f in schema.fields])
+    """All cells as text, and the line itself where it has too few or too many of them."""
+    return StructType([StructField(name, StringType()) for name in [*schema.fieldNames(), BROKEN]])
 
 
 def ingest_checked_files(
@@ -55,18 +62,27 @@ def ingest_checked_files(
 ) -> StreamingQuery:
     """Takes new files whose rows keep the rules; bad rows go to ``rejects`` with their messages.
 
-    Cells are read as text, so a wrong one is reported and does not stop the load. With
-    ``whole_file`` a file with any bad or (if ``unique_rows``) repeated row is not loaded at all.
+    Cells are read as text, and the header as a row like others, so what is wrong is reported and
+    does not stop the load. A file without the right header is not loaded; with ``whole_file`` nor is
+    one with any bad or (if ``unique_rows``) repeated row.
     ``dst`` and ``rejects`` are paths; batches are folders that a repeat replaces, and the
     checkpoint lies with ``dst``.
     """
     names = schema.fieldNames()
     required = [Rule(f"{n} is empty", F.col(n).isNotNull()) for n in names]
+    whole = Rule(f"the line does not have {len(names)} cells", F.col(BROKEN).isNull())
+    is_header = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.lit(n)) for n in names))
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("row_no", F.monotonically_increasing_id())
-        rows = numbered.withColumn("errors", errors_of([*required, *rules])).persist()
+        numbered = batch.withColumn("row_no", F.monotonically_increasing_id()).withColumn("header", is_header)
+        lines = numbered.withColumn("errors", errors_of([whole, *required, *rules])).persist()
+        # The next two have no more rows than the batch has files, whose list the driver holds anyway.
+        headless = lines.groupBy("file_path").agg(F.max("header").alias("known")).filter("NOT known")
+        headless = F.broadcast(headless.select("file_path", F.lit(True).alias("headless")))
+        rows = lines.filter("NOT header").join(headless, "file_path", "left")
+        note = F.when(F.col("headless"), F.array_append("errors", F.lit(f"the header is not {','.join(names)}")))
+        rows = rows.withColumn("errors", F.coalesce(note, "errors"))
         try:
             bad = rows.filter(F.size("errors") > 0).select(*names, "file_path", "errors")
             if unique_rows:
@@ -75,15 +91,14 @@ def ingest_checked_files(
                 bad = bad.unionByName(copies.select(*names, "file_path", note))
             good = rows.filter(F.size("errors") == 0)
             if whole_file:
-                # No more rows than the batch has files, whose list the driver holds anyway.
                 failed = F.broadcast(bad.select("file_path").distinct())
                 good = good.join(failed, "file_path", "left_anti")
             good.select(*typed, *POSITION).write.mode("overwrite").parquet(f"{dst}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
         finally:
-            rows.unpersist()
+            lines.unpersist()
 
-    stream = new_files(spark, src, as_text(schema), **options)
+    stream = new_files(spark, src, as_text(schema), header=False, columnNameOfCorruptRecord=BROKEN, **options)
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{dst}/_checkpoint")
     return writer.trigger(availableNow=True).start()
 
