@@ -20,7 +20,7 @@ from tidemill.session import build_session
 REGISTERED = [
     "popularity_mart", "sales_grouping_sets", "mean_route_price", "median_price", "prices_of_supplier",
     "events_within_an_hour", "numbered_orders", "ranked_balances", "next_event", "upserted_orders",
-    "fill_percentage", "load_by_weekday", "repeated_documents", "normalised_lines", "order_constraints",
+    "fill_percentage", "load_by_weekday", "ingested_messages", "repeated_documents", "normalised_lines", "order_constraints",
 ]
 
 
@@ -31,7 +31,7 @@ def headline(spark, folder: str) -> dict:
     return {
         "point_filter": lambda: P.eq_filter(tables.lineitem, "l_suppkey", 7).select("l_suppkey"),
         "four_table_join": lambda: queries["lines_of_chosen_customers"].run(spark, folder),
-        "top_ten_by_count": lambda: O.top_by_count(tables.orders, ["o_custkey"], 10),
+        "top_ten_by_count": lambda: O.top_by_count(tables.lineitem, ["l_partkey"], 10),
         "group_count": lambda: A.count_by(tables.lineitem, ["l_returnflag"]).orderBy("l_returnflag"),
     }
 
@@ -60,7 +60,7 @@ def main() -> None:
         make().write.format("noop").mode("overwrite").save()
     times = {name: seconds(make) for name, make in runs.items()}
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
-    orders = spark.read.parquet(f"{folder}/orders.parquet").count()
+    events = spark.read.parquet(f"{folder}/events.parquet").count()
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 4),
@@ -70,7 +70,8 @@ def main() -> None:
         "rows_per_sec": {
             "point_filter": round(lines / times["point_filter"]),
             "group_count": round(lines / times["group_count"]),
-            "top_ten_by_count": round(orders / times["top_ten_by_count"]),
+            "top_ten_by_count": round(lines / times["top_ten_by_count"]),
+            "ingested_messages": round(events / times["ingested_messages"]),
         },
     }))
     sys.stdout.flush()

@@ -29,7 +29,9 @@ SPLIT = {"max_group_rows": 200}
 
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_positions(skewed, rows_of, keys):
-    assert rows_of(O.number_rows(skewed, order(), keys, **SPLIT)) == rows_of(O.number_rows(skewed, order(), keys))
+    plain = rows_of(O.number_rows(skewed, order(), keys))
+    assert rows_of(O.number_rows(skewed, order(), keys, **SPLIT)) == plain
+    assert rows_of(O.number_rows(skewed, order(), keys, max_group_rows=None)) == plain
 
 
 @pytest.mark.parametrize("move", [O.next_value, O.prev_value])

@@ -4,7 +4,8 @@ A plain window puts a whole group in one task. Each function here first measures
 group (one scan of the key columns, combined before the shuffle). Up to ``max_group_rows`` the
 plain window is used. Above it, rows are range-partitioned by keys *and* order, so a hot group
 covers many chunks; every chunk is worked on alone, and what crosses a chunk border is carried
-over from a small summary with one row per chunk.
+over from a small summary with one row per chunk. ``max_group_rows=None`` skips the measuring, for
+keys known to have small groups.
 
 Order columns must give a total order (end with a unique column) for results to be repeatable,
 and for a run of equal values to be splittable.
@@ -43,6 +44,14 @@ def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     return tuple(n or 0 for n in counts.agg(F.max("n"), F.sum("n")).first())
 
 
+def chunks_needed(df: DataFrame, keys: list[str], max_group_rows: int | None) -> int:
+    """Into how many chunks the rows must be split; 0 when a plain window will do."""
+    if max_group_rows is None:
+        return 0
+    largest, total = group_sizes(df, keys)
+    return 0 if largest <= max_group_rows else math.ceil(total / max(max_group_rows, 1))
+
+
 def same(left: list[Column], right: list[Column]) -> Column:
     """Null-safe equality of two column lists."""
     return reduce(lambda a, b: a & b, (l.eqNullSafe(r) for l, r in zip(left, right)), F.lit(True))
@@ -73,7 +82,7 @@ def prefix_sum(
     order_by: list[Column],
     weight: Column | None = None,
     name: str = "before",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Adds the sum of ``weight`` (default: row count) over the rows of the key before this one.
 
@@ -81,15 +90,15 @@ def prefix_sum(
     """
     weight = F.lit(1).cast("long") if weight is None else weight
     earlier = (Window.unboundedPreceding, -1)
-    largest, total = group_sizes(df, keys)
-    if largest <= max_group_rows:
+    chunks = chunks_needed(df, keys, max_group_rows)
+    if not chunks:
         window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(*earlier)
         return df.withColumn(name, F.coalesce(F.sum(weight).over(window), F.lit(0)))
 
-    ranged = split_ranges(df, keys, order_by, math.ceil(total / max(max_group_rows, 1)))
+    ranged = split_ranges(df, keys, order_by, chunks)
     totals = ranged.groupBy(*keys, CHUNK).agg(F.sum(weight).alias("_total"))
-    chunks = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*earlier)
-    carried = totals.withColumn("_carried", F.sum("_total").over(chunks)).filter("_carried > 0")
+    along = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*earlier)
+    carried = totals.withColumn("_carried", F.sum("_total").over(along)).filter("_carried > 0")
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order_by).rowsBetween(*earlier)
     local = ranged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     return (
@@ -101,7 +110,7 @@ def prefix_sum(
 
 def number_rows(
     df: DataFrame, order_by: list[Column], keys: list[str] = (), name: str = "row_number",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Row number from 1 over the whole frame, or over each key."""
     keys = list(keys)
@@ -111,7 +120,7 @@ def number_rows(
 
 def rank_rows(
     df: DataFrame, column: str, descending: bool = True, name: str = "rank",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Rank by one column; ties share a rank and the next rank leaves a gap.
 
@@ -119,7 +128,7 @@ def rank_rows(
     shared by most rows costs nothing extra.
     """
     order = desc if descending else asc
-    if df.count() <= max_group_rows:
+    if not chunks_needed(df, [], max_group_rows):
         return df.withColumn(name, F.rank().over(Window.orderBy(order(column))).cast("long"))
 
     counts = materialise(df.groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_n")), "counts")
@@ -129,24 +138,24 @@ def rank_rows(
 
 
 def prev_value(df: DataFrame, part: list[str], order_by: list[Column], column: str, name: str,
-               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+               max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Value of ``column`` in the row before, within the same ``part``."""
     return _neighbour(df, part, order_by, column, name, -1, max_group_rows)
 
 
 def next_value(df: DataFrame, part: list[str], order_by: list[Column], column: str, name: str,
-               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+               max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Value of ``column`` in the row after, within the same ``part``."""
     return _neighbour(df, part, order_by, column, name, 1, max_group_rows)
 
 
 def _neighbour(df, part, order_by, column, name, step, max_group_rows):
     shift = F.lead if step > 0 else F.lag
-    largest, total = group_sizes(df, part)
-    if largest <= max_group_rows:
+    chunks = chunks_needed(df, part, max_group_rows)
+    if not chunks:
         return df.withColumn(name, shift(column).over(Window.partitionBy(*part).orderBy(*order_by)))
 
-    ranged = split_ranges(df, part, order_by, math.ceil(total / max(max_group_rows, 1)))
+    ranged = split_ranges(df, part, order_by, chunks)
     inside = Window.partitionBy(*part, CHUNK).orderBy(*order_by)
     marked = (
         ranged.withColumn(name, shift(column).over(inside))
@@ -154,11 +163,11 @@ def _neighbour(df, part, order_by, column, name, step, max_group_rows):
         .withColumn("_last", F.lead(F.lit(False), 1, True).over(inside))
     )
     here, other = ("_last", "_first") if step > 0 else ("_first", "_last")
-    chunks = Window.partitionBy(*part).orderBy(CHUNK)
+    along = Window.partitionBy(*part).orderBy(CHUNK)
     borders = (
         marked.filter(other)
         .select(*part, CHUNK, column)
-        .withColumn("_border", shift(F.struct(column)).over(chunks))
+        .withColumn("_border", shift(F.struct(column)).over(along))
         .filter(F.col("_border").isNotNull())
     )
     joined = _attach(marked, borders, part, "_border")
@@ -169,7 +178,7 @@ def _neighbour(df, part, order_by, column, name, step, max_group_rows):
 
 def ordered_array(
     df: DataFrame, keys: list[str], column: str, keep_nulls: bool = True, name: str = "items",
-    max_items: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
+    max_items: int = 10_000, max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Values of each key in ascending order, nulls last, in arrays of up to ``max_items``.
 
@@ -186,7 +195,7 @@ def ordered_array(
 
 def string_list(
     df: DataFrame, keys: list[str], column: str, sep: str = ", ", name: str = "items",
-    max_items: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
+    max_items: int = 10_000, max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Values of each key joined into text, ascending, nulls left out; parts as in ordered_array."""
     lists = ordered_array(df, keys, column, False, name, max_items, max_group_rows)
@@ -195,7 +204,7 @@ def string_list(
 
 def median_by(
     df: DataFrame, keys: list[str], column: str, name: str = "median",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Exact median of each key, the mean of the two middle values for an even count.
 
@@ -203,7 +212,7 @@ def median_by(
     above the limit, values are counted first and the middle is found by position.
     """
     present = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
-    if group_sizes(present, keys)[0] <= max_group_rows:
+    if not chunks_needed(present, keys, max_group_rows):
         return present.groupBy(*keys).agg(F.percentile("_v", 0.5).alias(name))
 
     counts = materialise(present.groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "counts")
