@@ -175,18 +175,22 @@ def popularity(
     """Units, revenue, orders and mean price of every product that was sold.
 
     Items are summed by product before names are joined, so the join sees one row per product.
-    ``one_row_per_order`` says that an order names a product once; orders then need no shuffle of
-    their own to be counted.
+    Orders are counted apart: only (product, order) pairs need a shuffle of their own, and the sums
+    do not travel with them. ``one_row_per_order`` says that an order names a product once; then
+    even that is not needed.
     """
     qty, cost = F.col(quantity), F.col(price)
-    orders = F.count(order) if one_row_per_order else F.count_distinct(order)
     sold = items.groupBy(product).agg(
         F.sum(qty).cast("long").alias("total_quantity_sold"),
         F.sum(qty * cost).cast("decimal(24,2)").alias("total_revenue"),
-        orders.alias("order_count"),
+        F.count(order).alias("order_count"),
         F.round(F.sum(cost) / F.count(cost), 2).cast("decimal(18,2)").alias("avg_price"),
     )
-    return products.select(product, name).join(sold, product)
+    if not one_row_per_order:
+        orders = items.groupBy(product).agg(F.count_distinct(order).alias("order_count"))
+        sold = sold.drop("order_count").join(orders, product)
+    columns = ["total_quantity_sold", "total_revenue", "order_count", "avg_price"]
+    return products.select(product, name).join(sold, product).select(product, name, *columns)
 
 
 def customer_totals(users: DataFrame, orders: DataFrame, key: str, name: str, amount: str) -> DataFrame:
