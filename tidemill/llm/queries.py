@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import token_counts, warc
-from tidemill.llm.common import table
+from tidemill.llm import quality, token_counts, toxicity, warc
+from tidemill.llm.common import fold, table
+
+
+PREDICTED = 0.3  # scores from here on are label 1
+
+
+def _judged(rows: DataFrame, held_out) -> DataFrame:
+    return rows.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= PREDICTED).cast("int").alias("predicted")
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~held_out)
+    return _judged(toxicity.with_score(docs.select("doc_id", "text"), model), held_out)
 
 
 def op2_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +31,12 @@ def op2_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
+    network = quality.fit(docs, table(spark, sf_dir, "labels"), keep=~held_out)
+    return _judged(quality.with_score(docs.select("doc_id", "text"), network), held_out)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,7 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_warc_members, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op7_quality, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
