@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import quality, token_counts, toxicity, warc
+from tidemill.llm import mixing, quality, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -31,6 +31,10 @@ def op2_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
     network = quality.fit(docs, table(spark, sf_dir, "labels"), keep=~held_out)
@@ -44,10 +48,55 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op7_quality, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op5_mixing, op7_quality, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
+    "op5_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+                   md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+            FROM documents
+        ), s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no,
+                   CAST(sum(sum(size)) OVER () AS BIGINT) * 1.5::DOUBLE AS wanted
+            FROM d GROUP BY source
+        ), w AS (
+            SELECT *, ([5, 2, 1])[no % 3 + 1] AS weight, source_size * 2 AS cap FROM s
+        ), l AS (
+            SELECT *, (wanted - coalesce(sum(cap) OVER (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+                      / sum(weight) OVER (ORDER BY cap / weight, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level
+            FROM w
+        ), t AS (
+            SELECT *, least(cap::DOUBLE, weight * max(level) OVER ()) AS target, CAST(round(wanted / 16) AS BIGINT) AS blocks,
+                   greatest(1, CAST(ceil(source_size / 1000000.0) AS BIGINT)) AS n_shards
+            FROM l
+        ), q AS (
+            SELECT no, row_number() OVER (ORDER BY target / (2 * j + 1) DESC, no) AS place, blocks
+            FROM (SELECT *, unnest(range(CAST(target / 16 + 2 + target / 16 * 0.01 AS BIGINT))) AS j FROM t WHERE target > 0)
+        ), won AS (
+            SELECT no, count(*) AS seats FROM q WHERE place <= blocks GROUP BY no
+        ), e AS (
+            SELECT d.*, t.no, t.source_size, t.target, coalesce(won.seats, 0) AS source_seats,
+                   ('0x' || substr(draw, 1, 8))::BIGINT % t.n_shards AS shard
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN won ON won.no = t.no
+        ), h AS (
+            SELECT no, shard, sum(size)::BIGINT AS shard_size, max(source_seats) AS source_seats FROM e GROUP BY no, shard
+        ), hq AS (
+            SELECT no, shard, row_number() OVER (PARTITION BY no ORDER BY shard_size / (2 * j + 1) DESC, shard) AS place, source_seats
+            FROM (SELECT *, unnest(range(CAST(shard_size * 2 / 16 + 3 AS BIGINT))) AS j FROM h WHERE shard_size > 0)
+        ), hw AS (
+            SELECT no, shard, count(*) AS seats FROM hq WHERE place <= source_seats GROUP BY no, shard
+        ), p AS (
+            SELECT e.*, h.shard_size, least(coalesce(hw.seats, 0) * 16, h.shard_size * 2) AS quota,
+                   coalesce(sum(e.size) OVER (PARTITION BY e.no, e.shard ORDER BY draw, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+            FROM e JOIN h ON h.no = e.no AND h.shard = e.shard LEFT JOIN hw ON hw.no = e.no AND hw.shard = e.shard
+        )
+        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+               CAST(CASE WHEN shard_size > 0 THEN quota // shard_size ELSE 0 END * size
+                    + greatest(0, least(size, quota - CASE WHEN shard_size > 0 THEN quota // shard_size ELSE 0 END * shard_size - before)) AS BIGINT) AS taken
+        FROM p
+    """,
     "op2_warc_members": r"""
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
