@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import mixing, quality, token_counts, toxicity, warc
+from tidemill.llm import mixing, quality, scoring, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -41,6 +41,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.with_score(docs.select("doc_id", "text"), network), held_out)
 
 
+def op9_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 7) == 2
+    return scoring.score(docs, scoring.fit(docs, keep=~held_out), held_out)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,7 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op5_mixing, op7_quality, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op5_mixing, op7_quality, op9_suffix_tree_scores, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
