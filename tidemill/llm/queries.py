@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import mixing, quality, scoring, token_counts, toxicity, warc
+from tidemill.llm import mixing, neighbours, quality, scoring, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -31,6 +31,10 @@ def op2_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -53,7 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op5_mixing, op7_quality, op9_suffix_tree_scores, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op4_neighbours, op5_mixing, op7_quality, op9_suffix_tree_scores, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
