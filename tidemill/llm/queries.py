@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import mixing, neighbours, quality, scoring, token_counts, toxicity, warc
+from tidemill.llm import contamination, mixing, neighbours, quality, scoring, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -45,6 +45,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.with_score(docs.select("doc_id", "text"), network), held_out)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 7) == 2
     return scoring.score(docs, scoring.fit(docs, keep=~held_out), held_out)
@@ -57,10 +61,36 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op4_neighbours, op5_mixing, op7_quality, op9_suffix_tree_scores, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op4_neighbours, op5_mixing, op7_quality, op8_decontamination, op9_suffix_tree_scores, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
+    "op8_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+            FROM documents
+        ), i AS (
+            SELECT CAST(item_id AS VARCHAR) AS item_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), iw AS (
+            SELECT DISTINCT item_id, array_to_string(w[s : s + least(10, len(w)) - 1], ' ') AS win, least(10, len(w)) AS n
+            FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM i WHERE len(w) > 0)
+        ), dw AS (
+            SELECT rid, s, n, array_to_string(w[s : s + n - 1], ' ') AS win
+            FROM (SELECT rid, w, n, unnest(range(1, greatest(0, len(w) - n + 1) + 1)) AS s FROM d, (SELECT DISTINCT n FROM iw))
+        ), o AS (
+            SELECT rid, s, dw.n, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.n = iw.n
+        ), h AS (
+            SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT rid, s, n FROM o)) GROUP BY rid
+        ), l AS (
+            SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT rid, item_id FROM o) GROUP BY rid
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (rid) LEFT JOIN l USING (rid)
+    """,
     "op5_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
