@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import contamination, mixing, neighbours, quality, scoring, token_counts, toxicity, warc
+from tidemill.llm import contamination, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -31,6 +31,11 @@ def op2_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -61,10 +66,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op4_neighbours, op5_mixing, op7_quality, op8_decontamination, op9_suffix_tree_scores, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op3_substrings, op4_neighbours, op5_mixing, op7_quality, op8_decontamination, op9_suffix_tree_scores, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
+    "op3_substrings": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+        ), s AS (
+            SELECT doc_id, s, array_to_string(w[s : s + 19], ' ') AS win
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(0, len(w) - 19) + 1)) AS s FROM d)
+        ), r AS (
+            SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS place FROM s) WHERE place > 1
+        ), g AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM r
+        ), k AS (
+            SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d
+        ), n AS (
+            SELECT k.doc_id, count(g.p) AS n_removed, string_agg(CASE WHEN g.p IS NULL THEN k.w[k.p] END, ' ' ORDER BY k.p) AS kept
+            FROM k LEFT JOIN g ON g.doc_id = k.doc_id AND g.p = k.p GROUP BY k.doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id)
+    """,
     "op8_decontamination": r"""
         WITH d AS (
             SELECT row_number() OVER () AS rid, doc_id,
