@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import contamination, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, warc
+from tidemill.llm import contamination, jaccard, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -44,6 +44,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
     network = quality.fit(docs, table(spark, sf_dir, "labels"), keep=~held_out)
@@ -66,7 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op3_substrings, op4_neighbours, op5_mixing, op7_quality, op8_decontamination, op9_suffix_tree_scores, op10_token_counts)
+    f.__name__: f for f in (op1_toxicity, op2_warc_members, op3_substrings, op4_neighbours, op5_mixing, op6_jaccard, op7_quality, op8_decontamination, op9_suffix_tree_scores, op10_token_counts)
 }
 
 ORACLES: dict[str, str] = {
