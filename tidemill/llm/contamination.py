@@ -34,14 +34,9 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     return distinct, placed.select("window", "item_id").distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for each row of ``docs``.
-
-    A word is hit if it lies inside any occurrence of an item's window. Texts are known by their
-    digest, so copies share their candidates. Null and empty texts have no words and are clean; null
-    and repeated ids give a row each. Repeated item ids count once; an item without an id marks words
-    but is not listed. Without items nothing is hit; an empty table gives no rows.
-    """
+def hits_of_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame, bool]:
+    """For each row of ``docs`` its ``doc_id``, ``digest`` of the text, ``n_words``, ``n_hit`` and the ``windows`` it
+    holds; the items of each window; and whether the windows are few."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "digest", F.md5("text")
     )
@@ -82,9 +77,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     rows = materialise(
         rows.select("doc_id", "digest", "n_words", covered.alias("n_hit"), F.array_distinct(F.col("hits.window")).alias("windows")), "window-hits"
     )
+    return rows, holders, few
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows of ``docs``, all columns, whose text holds no window of any item; null texts hold none."""
+    hit = hits_of_texts(docs, benchmark, window)[0].where("n_hit > 0").select(F.col("digest").alias("_tidemill_digest")).distinct()
+    return docs.join(hit, F.md5(F.coalesce("text", F.lit(""))) == F.col("_tidemill_digest"), "left_anti")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for each row of ``docs``.
+
+    A word is hit if it lies inside any occurrence of an item's window. Texts are known by their
+    digest, so copies share their candidates. Null and empty texts have no words and are clean; null
+    and repeated ids give a row each. Repeated item ids count once; an item without an id marks words
+    but is not listed. Without items nothing is hit; an empty table gives no rows.
+    """
+    rows, holders, few = hits_of_texts(docs, benchmark, window)
     listed = (
         rows.where("n_hit > 0").select("digest", F.explode("windows").alias("window")).distinct()
-        .join(small(holders) if few else holders, "window").where(F.col("item_id").isNotNull())
+        .join(F.broadcast(holders) if few else holders, "window").where(F.col("item_id").isNotNull())
         .groupBy("digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
     items = F.coalesce("items", F.array().cast("array<string>"))

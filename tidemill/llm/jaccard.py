@@ -14,9 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemill.llm.common import text_bytes
+from tidemill.llm.common import WORD, text_bytes
 from tidemill.llm.components import components
 from tidemill.llm.shingles import WordHashes, runs
 from tidemill.session import materialise
@@ -177,15 +177,9 @@ def index_pairs(sets: DataFrame, members: DataFrame, percent: int, long_list: in
     return pairs.where("shared + rest >= needed").select("a", "b")
 
 
-def near_copies(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each row of ``docs``: documents link when 100 * shared >=
-    ``percent`` * all their shingles, and a component's id is the smallest doc_id reachable by links.
-
-    Null and empty texts have no shingles and are components of their own. Rows without an id link as
-    others do; their component's id is the smallest id there is in it, or null. Rows with equal texts
-    or equal ids count each. No link between different sets is lost: hubs only save work. An
-    empty table gives no rows.
-    """
+def grouped(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
+    """``doc_id, th, rid, n, component`` for each row of ``docs``: hash of its text, a number of its own, size of
+    its set, and the number that its component has (null without shingles)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
     bits = min(62, max(24, int(np.ceil(np.log2(text_bytes(docs) / 25 + 2))) + 16))  # of a token: so many that few meet by chance
     sets = rows.mapInArrow(
@@ -196,16 +190,41 @@ def near_copies(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_li
     reps = sets.where("n > 0").groupBy("digest").agg(first).select("digest", F.col("first.rid").alias("rid"))
     reps = materialise(reps, "distinct-sets")
     stars = components(verified(materialise(hub_pairs(sets, reps, percent), "hub-pairs"), sets, rows, k, percent))
-    stars = materialise(stars, "hub-components")
     own = reps.join(stars, F.col("rid") == F.col("node"), "left").select("digest", "rid", F.coalesce("component", "rid").alias("component"))
     own = materialise(own, "set-components")
     more = verified(materialise(index_pairs(sets, own.select("rid", "component"), percent, long_list), "index-pairs"), sets, rows, k, percent)
     joined = components(stars.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     joined = joined.withColumnRenamed("component", "whole")
     of_set = own.join(joined, F.col("rid") == F.col("node"), "left").select("digest", F.coalesce("whole", "rid").alias("component"))
-    found = sets.select("doc_id", "n", "digest").join(of_set, "digest", "left")
+    return sets.select("doc_id", "th", "rid", "n", "digest").join(of_set, "digest", "left").drop("digest")
+
+
+def near_copies(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for each row of ``docs``: documents link when 100 * shared >=
+    ``percent`` * all their shingles, and a component's id is the smallest doc_id reachable by links.
+
+    Null and empty texts have no shingles and are components of their own. Rows without an id link as
+    others do; their component's id is the smallest id there is in it, or null. Rows with equal texts
+    or equal ids count each. No link between different sets is lost: hubs only save work. An
+    empty table gives no rows.
+    """
+    found = grouped(docs, k, percent, long_list)
     ids = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
     return found.join(ids, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
+    """Of each component of near copies one row, all columns: that with the smallest id (rows without an
+    id last). Rows without shingles all stay."""
+    kept = grouped(docs, k, percent, long_list).where("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid", "th")).alias("first")
+    ).select(F.col("first.doc_id").alias("_tidemill_id"), F.col("first.th").alias("_tidemill_th"), F.lit(True).alias("_tidemill_kept"))
+    of_text = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.withColumn("_tidemill_own", of_text)
+    rows = rows.join(kept, (F.col("_tidemill_own") == F.col("_tidemill_th")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_tidemill_id")), "left")
+    rows = rows.withColumn("_tidemill_copy", F.row_number().over(Window.partitionBy("_tidemill_own", "doc_id").orderBy("_tidemill_own")))
+    empty = F.col("text").isNull() | ~F.col("text").rlike(WORD)
+    return rows.where(empty | F.col("_tidemill_kept") & (F.col("_tidemill_copy") == 1)).select(*(F.col(f"`{c}`") for c in docs.columns))

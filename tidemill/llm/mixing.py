@@ -68,7 +68,7 @@ def source_targets(sources: DataFrame, weights: list[int], share: float, most_ti
 
 def mix(
     docs: DataFrame, weights: list[int] = (5, 2, 1), share: float = 1.5, most_times: int = 2, block: int = BLOCK_WORDS,
-    shard_words: int = SHARD_WORDS, seed: int = 11,
+    shard_words: int = SHARD_WORDS, seed: int = 11, carry: bool = False,
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` for each row of ``docs``.
 
@@ -79,6 +79,8 @@ def mix(
     than the shard. ``taken`` are the words taken, repeats counted; no document gives more than
     ``most_times`` its size, and reruns agree.
 
+    With ``carry`` the columns of ``docs`` come along, as struct ``doc``.
+
     A null text has size 0 and gives nothing; null sources are one source; null ids are ids like
     any other; rows that repeat each count. An empty table gives no rows.
     """
@@ -86,7 +88,7 @@ def mix(
     rows = materialise(docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), named)).alias("draw"),
+        F.md5(F.concat(F.lit(f"{seed}:"), named)).alias("draw"), *([F.struct("*").alias("doc")] if carry else []),
     ), "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, list(weights), share, most_times).withColumn("_all", F.lit(0))
@@ -112,5 +114,5 @@ def mix(
     rest = F.col("quota") - rounds * F.col("shard_size")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     return placed.join(shards, ["source_no", "shard"]).select(
-        "doc_id", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken")
+        "doc_id", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken"), *(["doc"] if carry else [])
     )
