@@ -169,7 +169,7 @@ def test_totals_in_every_cut(air):
     ).withColumn("month", S.month_start("scheduled_departure").cast("timestamp_ntz"))
     cuts = [["fare_conditions"], ["month"], ["airport_name"], ["fare_conditions", "month"],
             ["fare_conditions", "airport_name"], ["month", "airport_name"], []]
-    check(A.grouping_sets(facts, ["fare_conditions", "month", "airport_name"], cuts, {"n": F.count("*")}), con, """
+    check(A.grouping_sets(facts, ["fare_conditions", "month", "airport_name"], cuts, {"n": ("count", "*")}), con, """
         SELECT fare_conditions, month, airport_name, count(*) AS n FROM (
             SELECT tf.fare_conditions, date_trunc('month', scheduled_departure)::TIMESTAMP AS month, airport_name
             FROM flights f JOIN ticket_flights tf ON tf.flight_id = f.flight_id JOIN airports ON airport_code = departure_airport)

@@ -55,13 +55,18 @@ def stamp_text(ts: Column | str, fmt: str = "yyyyMMdd_HHmmss") -> Column:
 
 
 def part_after(text: Column | str, sep: str) -> Column:
-    """The second part of the text split at ``sep``; null when there is none."""
-    return F.get(F.split(_c(text), sep), 1)
+    """The second part of the text split at ``sep``, taken as it is written; null when there is none."""
+    return F.get(F.split(_c(text), _literal(sep)), 1)
+
+
+def _literal(sep: str) -> str:
+    """A pattern for exactly this text."""
+    return "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def blank(text: Column | str) -> Column:
-    """True for null, empty and all-space text."""
-    return F.coalesce(F.length(F.trim(_c(text))), F.lit(0)) == 0
+    """True for null, empty and all-white text; any white space counts, as for a strip."""
+    return F.coalesce(~_c(text).rlike(r"(?U)\S"), F.lit(True))
 
 
 def too_long(text: Column | str, limit: int) -> Column:
@@ -89,5 +94,5 @@ def mean_money(col: Column | str) -> Column:
 
 
 def split_cells(text: Column | str, sep: str = ",") -> Column:
-    """Multi-valued cell to a list of trimmed parts."""
-    return F.transform(F.split(_c(text), sep), lambda part: F.trim(part))
+    """Multi-valued cell to a list of trimmed parts; ``sep`` is taken as it is written."""
+    return F.transform(F.split(_c(text), _literal(sep)), lambda part: F.trim(part))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.operators.changes import new_rows
 from tidemill.operators.graph import graph_rows
@@ -34,9 +34,19 @@ def extract(customers: DataFrame, made: DataFrame, transactions: DataFrame, sinc
 
 def run(
     spark: SparkSession, customers: DataFrame, made: DataFrame, transactions: DataFrame,
-    table: str, root: str, load_ts, since=None,
+    table: str, root: str, load_ts, since=None, look_back: str = "5 minutes",
 ) -> DataFrame:
+    """Adds the transactions not in the table yet.
+
+    Without ``since``, those from the table's own latest time less ``look_back`` on are read, and
+    only that part of the table is compared.
+    """
     ensure_table(spark, table, TABLE, root)
+    known = spark.table(table)
+    if since is None:
+        mark = known.agg(F.max("transaction_timestamp") - F.expr(f"INTERVAL {look_back}")).first()[0]
+        since = None if mark is None else F.lit(mark)
+        known = known if mark is None else known.filter(F.col("transaction_timestamp") >= since)
     rows = stamp(extract(customers, made, transactions, since), load_ts, {"amount": 0.0})
-    append(new_rows(spark.table(table), fitted(rows, table), ["transaction_id"]), table)
+    append(new_rows(known, fitted(rows, table), ["transaction_id"]), table)
     return spark.table(table)

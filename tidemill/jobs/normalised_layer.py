@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemill.operators.changes import new_rows
 from tidemill.operators.modelling import Dimension, new_members, split_entities, with_key
 from tidemill.operators.quality import rules_for, split_valid
-from tidemill.sources.sinks import append, ensure_table, fitted
+from tidemill.sources.sinks import append, ensure_table, fitted, overwrite
 
 # Table columns, in the order in which references allow them to be made.
 TABLES = {
@@ -26,23 +26,30 @@ TABLES = {
     ),
     "cards": "card_number STRING, user_id STRING",
 }
+# Raw rows that break a rule, of the latest run, as read and with what is wrong.
+REJECTS = {
+    "rejected_users": "user_id STRING, name STRING, surname STRING, age STRING, email STRING, phone STRING, errors STRING",
+    "rejected_cards": "card_number STRING, user_id STRING, errors STRING",
+}
 
 
 def ensure_tables(spark: SparkSession, root: str, database: str) -> None:
-    for name, schema in TABLES.items():
+    for name, schema in (TABLES | REJECTS).items():
         ensure_table(spark, f"{database}.{name}", schema, root)
 
 
-def load_users(spark: SparkSession, raw: DataFrame, database: str) -> DataFrame:
-    """Valid users and cards not known yet; returns the rows that failed."""
+def load_users(spark: SparkSession, raw: DataFrame, database: str, root: str | None = None) -> None:
+    """Valid users and cards not known yet; the rows that failed replace the tables of rejects."""
     user_columns = ["user_id", "name", "surname", "age", "email", "phone"]
     parts = split_entities(raw, {"users": user_columns, "cards": ["card_number", "user_id"]})
     users, bad = split_valid(parts["users"], rules_for("users"))
-    cards, _ = split_valid(parts["cards"], rules_for("cards"))
+    cards, bad_cards = split_valid(parts["cards"], rules_for("cards"))
     for name, rows, key in (("users", users, "user_id"), ("cards", cards, "card_number")):
         table = f"{database}.{name}"
         append(new_rows(spark.table(table), fitted(rows, table), [key]), table)
-    return bad
+    for name, rows in (("rejected_users", bad), ("rejected_cards", bad_cards)):
+        noted = rows.withColumn("errors", F.array_join("errors", "; "))
+        overwrite(noted, f"{database}.{name}", root)
 
 
 def add_members(spark: SparkSession, raw: DataFrame, table: str, columns: dict[str, str], key: str) -> Dimension:
@@ -81,7 +88,7 @@ def run(
 ) -> DataFrame:
     """Builds or extends the layer; returns the orders table."""
     ensure_tables(spark, root, database)
-    load_users(spark, users, database)
+    load_users(spark, users, database, root)
     load_orders(spark, orders, database)
     if deliveries is not None:
         load_deliveries(spark, deliveries, database)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemill.operators.quality import Rule
@@ -18,20 +18,12 @@ def run(
 ) -> DataFrame:
     """Loads objects not loaded before; one that cannot be read is put aside, the others go on."""
     ingest_checked_files(
-        spark, src, f"{root}/data", f"{root}/rejects", schema, list(rules) + typed_cells(schema),
-        unique_rows=False, glob="*.csv", archive=archive,
+        spark, src, f"{root}/data", f"{root}/rejects", schema, list(rules),
+        unique_rows=False, reject_empty=False, glob="*.csv", archive=archive,
     ).awaitTermination()
     return stored(spark, f"{root}/data", schema)
 
 
-def typed_cells(schema: StructType) -> list[Rule]:
-    """A cell must fit its column's type."""
-    return [
-        Rule(f"{f.name} must be of type {f.dataType.simpleString()}", F.col(f.name).try_cast(f.dataType).isNotNull())
-        for f in schema.fields
-    ]
-
-
 def ledger(spark: SparkSession, root: str) -> DataFrame:
     """Objects loaded so far."""
     return loaded_files(spark, f"{root}/data")

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from tidemill.operators.aggregates import popularity
 from tidemill.operators.quality import rules_for
 from tidemill.sources.sinks import ensure_table, fitted, table_id, upsert_table
-from tidemill.streaming.files import POSITION, ingest_checked_files, stored_schema
+from tidemill.streaming.files import POSITION, ingest_checked_files, reject_zero_length, stored_schema
 
 # Table columns, file patterns and upsert keys.
 TABLES = {
@@ -42,14 +42,17 @@ def load_raw(
     read move to ``archive`` when it is given.
     """
     running = []
-    for name, (ddl, pattern, _) in TABLES.items():
-        folder, glob = (src, pattern) if isinstance(src, str) else (src[name], "*.csv")
+    places = {name: (src, pattern) if isinstance(src, str) else (src[name], "*.csv") for name, (_, pattern, _) in TABLES.items()}
+    for name, (ddl, _, _) in TABLES.items():
+        folder, glob = places[name]
         running.append(ingest_checked_files(
             spark, folder, f"{root}/raw/{name}", f"{root}/rejects/{name}",
             StructType.fromDDL(ddl), rules_for(name), glob=glob, archive=archive,
         ))
     for query in running:
         query.awaitTermination()
+    for name, (folder, glob) in places.items():
+        reject_zero_length(spark, folder, f"{root}/rejects/{name}", StructType.fromDDL(TABLES[name][0]), glob)
 
 
 def raw_to_dds(spark: SparkSession, root: str, database: str) -> None:

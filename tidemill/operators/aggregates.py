@@ -90,18 +90,27 @@ def having(df: DataFrame, keys: list[str], condition: Column, name: str = "n") -
     return count_by(df, keys, name).filter(condition)
 
 
+# How the parts of an aggregate are merged: each by its own rule.
+_MERGE = {"sum": (F.sum, F.sum), "count": (F.count, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
 def grouping_sets(
-    df: DataFrame, columns: list[str], sets: list[list[str]], totals: dict[str, Column]
+    df: DataFrame, columns: list[str], sets: list[list[str]], totals: dict[str, tuple[str, Column | str]]
 ) -> DataFrame:
-    """Several groupings of counts and sums in one pass; ``grouping_id`` tells a total from a null.
+    """Several groupings in one pass, with totals as ``{"n": ("count", "*")}``; ``grouping_id`` tells a
+    total from a null.
 
     Rows are first grouped by all the columns, so each set is built from the few grouped rows and
-    not from a copy of all the facts.
+    not from a copy of all the facts. Sums, counts, minima and maxima can be merged so; any other
+    aggregate is an error.
     """
-    grouped = df.groupBy(*columns).agg(*[total.alias(name) for name, total in totals.items()])
-    sums = [F.sum(name).alias(name) for name in totals]
+    unknown = sorted({kind for kind, _ in totals.values()} - set(_MERGE))
+    if unknown:
+        raise ValueError(f"{', '.join(unknown)} cannot be merged from its groups")
+    grouped = df.groupBy(*columns).agg(*[_MERGE[kind][0](value).alias(name) for name, (kind, value) in totals.items()])
+    merged = [_MERGE[kind][1](name).alias(name) for name, (kind, _) in totals.items()]
     return grouped.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
-        F.grouping_id().alias("grouping_id"), *sums
+        F.grouping_id().alias("grouping_id"), *merged
     )
 
 

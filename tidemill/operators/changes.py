@@ -14,9 +14,10 @@ from tidemill.operators.shape import dedup_keys, last_per_key
 
 
 def new_rows(target: DataFrame, new: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """The rows an insert would add: first of each key in ``new``, when not in ``target``."""
+    """The rows an insert would add: first of each key in ``new``, when not in ``target``. A null in a
+    key is a value like others, so a repeat adds nothing."""
     first = dedup_keys(new, keys, order_by or new.columns)
-    return not_in(first, target, keys).select(*target.columns)
+    return not_in(first, target, keys, null_safe=True).select(*target.columns)
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
@@ -25,9 +26,11 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str], order_by:
 
 
 def upsert(target: DataFrame, new: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Adds unknown keys and replaces known ones; of several new rows the last in ``order_by`` wins."""
+    """Adds unknown keys and replaces known ones; of several new rows the last in ``order_by`` wins.
+
+    A null in a key is a value like others, so a repeat changes nothing."""
     last = last_per_key(new, keys, order_by).select(*target.columns)
-    return not_in(target, last, keys).unionByName(last)
+    return not_in(target, last, keys, null_safe=True).unionByName(last)
 
 
 def replace_by_key(target: DataFrame, row: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,7 +50,7 @@ def batch_update(
     joined = target.join(values, key, "left")
     value = F.when(F.col("_new").isNotNull(), F.col(f"_new.{column}")).otherwise(F.col(column))
     changed = joined.withColumn(column, value).select(*target.columns)
-    known = target.select(F.col(key).alias("_known")).distinct()
+    known = target.select(F.col(key).alias("_known")).join(last.select(F.col(key).alias("_known")), "_known", "left_semi").distinct()
     report = last.join(known, last[key] == known["_known"], "left").select(
         last[key], F.col("_known").isNotNull().alias("updated")
     )

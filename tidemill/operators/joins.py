@@ -50,8 +50,12 @@ def lookup_key(fact: DataFrame, dim: DataFrame, natural: str, dim_natural: str,
     return fact.join(side, fact[natural] == side["_natural"], "left").drop("_natural")
 
 
-def not_in(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing``."""
+def not_in(new: DataFrame, existing: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing``. A null in a key is in nothing, or with
+    ``null_safe`` a value like others."""
+    if null_safe:
+        side = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys])
+        return new.join(side, same([new[k] for k in keys], [side[f"_e_{k}"] for k in keys]), "left_anti")
     return new.join(existing.select(*keys), keys, "left_anti")
 
 
@@ -64,8 +68,9 @@ def band_self_join(
 
     Each pair comes once, the earlier row first; ``ordered_pairs`` gives it in both directions.
     Rows meet by time bucket: the later row in its own, the earlier one in its own and the next,
-    so a pair meets exactly once and only neighbours in time are compared. Buckets above
-    ``max_bucket_rows`` are spread: the later rows over salts, the earlier ones to every salt.
+    so a pair meets exactly once and only neighbours in time are compared. Buckets with more than
+    ``max_bucket_rows`` rows on either side are spread over a grid: each side's rows over salts of
+    their own and to every salt of the other side. No seconds means equal times.
     """
     eq_keys = list(eq_keys)
     base = df.select(
@@ -73,29 +78,35 @@ def band_self_join(
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
         *eq_keys,
     ).filter(F.col("_us").isNotNull())
-    width = seconds * 1_000_000
+    band = seconds * 1_000_000
+    width = max(band, 1)
     bucket = F.expr(f"_us div {width} - if(_us % {width} < 0, 1, 0)")
     meet = [*eq_keys, "_bucket"]
     later = base.withColumn("_bucket", bucket)
     earlier = later.withColumn("_bucket", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)))
 
-    sizes = later.groupBy(*meet).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_bucket_rows)
+    both = later.select(*meet, F.lit(1).alias("_l"), F.lit(0).alias("_e")).unionByName(
+        earlier.select(*meet, F.lit(0).alias("_l"), F.lit(1).alias("_e"))
+    )
+    sizes = both.groupBy(*meet).agg(F.sum("_l").alias("_l"), F.sum("_e").alias("_e"))
+    sizes = sizes.filter((F.greatest("_l", "_e") > max_bucket_rows) & (F.least("_l", "_e") > 0))
     n_hot = sizes.count()
     if n_hot:
-        hot = sizes.select(*meet, F.ceil(F.col("_n") / max_bucket_rows).cast("int").alias("_salts"))
+        parts = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / max_bucket_rows)).cast("int")
+        hot = sizes.select(*meet, parts("_l").alias("_lsalts"), parts("_e").alias("_esalts"))
         hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-        salts = F.coalesce("_salts", F.lit(1))
-        later = later.join(hot, meet, "left").withColumn("_salt", F.pmod(F.xxhash64("_id"), salts).cast("int"))
-        spread = F.explode(F.sequence(F.lit(0), salts - 1))
-        earlier = earlier.join(hot, meet, "left").withColumn("_salt", spread)
-        meet = [*meet, "_salt"]
+        own = lambda c: F.pmod(F.xxhash64("_id"), F.coalesce(c, F.lit(1))).cast("int")
+        every = lambda c: F.explode(F.sequence(F.lit(0), F.coalesce(c, F.lit(1)) - 1))
+        later = later.join(hot, meet, "left").withColumn("_lsalt", own("_lsalts")).withColumn("_esalt", every("_esalts"))
+        earlier = earlier.join(hot, meet, "left").withColumn("_esalt", own("_esalts")).withColumn("_lsalt", every("_lsalts"))
+        meet = [*meet, "_lsalt", "_esalt"]
 
     a = earlier.select(*[F.col(c).alias(f"_a_{c}") for c in ["_id", "_us", *meet]])
     b = later.select("_id", "_us", *meet)
     in_order = (F.col("_a__us") < F.col("_us")) | (
         (F.col("_a__us") == F.col("_us")) & (F.col("_a__id") < F.col("_id"))
     )
-    near = F.col("_us") - F.col("_a__us") <= width
+    near = F.col("_us") - F.col("_a__us") <= band
     equal = [a[f"_a_{c}"] == b[c] for c in meet]
     pairs = a.join(b, [*equal, in_order, near]).select(
         F.col("_a__id").alias("a_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -45,9 +46,13 @@ def members(raw: DataFrame, dim: Dimension) -> DataFrame:
 
 def with_key(fact: DataFrame, dim: Dimension, table: DataFrame) -> DataFrame:
     """Adds the surrogate key of ``table`` to the fact; null where the name is null."""
+    named = reduce(lambda a, b: a | b, (F.col(r).isNotNull() for r in dim.columns))
     side = table.select(dim.key, *[F.col(n).alias(f"_d_{n}") for n in dim.columns.values()])
-    match = same([fact[r] for r in dim.columns], [side[f"_d_{n}"] for n in dim.columns.values()])
-    return fact.join(side, match, "left").drop(*[f"_d_{n}" for n in dim.columns.values()])
+    known = fact.filter(named)
+    match = same([known[r] for r in dim.columns], [side[f"_d_{n}"] for n in dim.columns.values()])
+    found = known.join(side, match, "left").drop(*[f"_d_{n}" for n in dim.columns.values()])
+    # Facts without any name stay out of the join, where they would all meet in one task.
+    return found.unionByName(fact.filter(~named).withColumn(dim.key, F.lit(None).cast(table.schema[dim.key].dataType)))
 
 
 def normalise(

@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.session import materialise
 
-# What one task sorts in good time; also the size of a chunk.
+# What one task sorts in good time; also the size of a chunk. Wide rows reach the second limit first.
 MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_BYTES = 2 << 30
 CHUNK = "_chunk"
 
 
@@ -35,21 +36,26 @@ def desc(name: str) -> Column:
     return F.col(name).desc_nulls_first()
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows in the largest group, and in all."""
-    if not keys:
-        total = df.count()
-        return total, total
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return tuple(n or 0 for n in counts.agg(F.max("n"), F.sum("n")).first())
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: texts as long as they are, other values 8."""
+    sized = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    return reduce(lambda a, b: a + b, sized, F.lit(8 * len(df.columns))).cast("long")
+
+
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int, int, int]:
+    """Rows in the largest group and in all, and bytes of the heaviest group and of all."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(row_bytes(df)).alias("b"))
+    return tuple(n or 0 for n in counts.agg(F.max("n"), F.sum("n"), F.max("b"), F.sum("b")).first())
 
 
 def chunks_needed(df: DataFrame, keys: list[str], max_group_rows: int | None) -> int:
     """Into how many chunks the rows must be split; 0 when a plain window will do."""
     if max_group_rows is None:
         return 0
-    largest, total = group_sizes(df, keys)
-    return 0 if largest <= max_group_rows else math.ceil(total / max(max_group_rows, 1))
+    largest, total, heaviest, weight = group_sizes(df, keys)
+    if largest <= max_group_rows and heaviest <= MAX_GROUP_BYTES:
+        return 0
+    return max(math.ceil(total / max(max_group_rows, 1)), math.ceil(weight / MAX_GROUP_BYTES))
 
 
 def same(left: list[Column], right: list[Column]) -> Column:
@@ -98,7 +104,7 @@ def prefix_sum(
     ranged = split_ranges(df, keys, order_by, chunks)
     totals = ranged.groupBy(*keys, CHUNK).agg(F.sum(weight).alias("_total"))
     along = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*earlier)
-    carried = totals.withColumn("_carried", F.sum("_total").over(along)).filter("_carried > 0")
+    carried = totals.withColumn("_carried", F.sum("_total").over(along)).filter("_carried IS NOT NULL")
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order_by).rowsBetween(*earlier)
     local = ranged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     return (
@@ -209,12 +215,14 @@ def median_by(
     """Exact median of each key, the mean of the two middle values for an even count.
 
     ``percentile`` holds a group's distinct values in one task, so it only serves small groups;
-    above the limit, values are counted first and the middle is found by position.
+    above the limit, values are counted first and the middle is found by position. Nulls do not
+    count; a group of nothing else has the median null.
     """
-    present = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
-    if not chunks_needed(present, keys, max_group_rows):
-        return present.groupBy(*keys).agg(F.percentile("_v", 0.5).alias(name))
+    rows = df.select(*keys, F.col(column).cast("double").alias("_v"))
+    if not chunks_needed(rows, keys, max_group_rows):
+        return rows.groupBy(*keys).agg(F.percentile("_v", 0.5).alias(name))
 
+    present = rows.filter(F.col("_v").isNotNull())
     counts = materialise(present.groupBy(*keys, "_v").agg(F.count("*").alias("_n")), "counts")
     placed = prefix_sum(counts, keys, [asc("_v")], F.col("_n"), "_before", max_group_rows)
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
@@ -225,7 +233,12 @@ def median_by(
     holds_low = (F.col("_before") <= low) & (low < after)
     holds_high = (F.col("_before") <= high) & (high < after)
     middle = placed.join(totals, match).filter(holds_low | holds_high)
-    return middle.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
+    found = middle.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
+    if not keys:
+        return found
+    found = found.select(*[F.col(k).alias(f"_f_{k}") for k in keys], name)
+    groups = rows.select(*keys).distinct()
+    return groups.join(found, same([groups[k] for k in keys], [found[f"_f_{k}"] for k in keys]), "left").select(*keys, name)
 
 
 def sort_by(df: DataFrame, *columns: str | Column) -> DataFrame:

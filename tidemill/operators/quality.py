@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.functions.scalar import blank, too_long
 
@@ -23,7 +24,17 @@ def positive_int(column: str) -> Rule:
 
 
 def positive_number(column: str) -> Rule:
-    return Rule(f"{column} must be a number above 0", F.col(column).try_cast("double") > 0)
+    """NaN and infinity are no numbers."""
+    value = F.col(column).try_cast("double")
+    return Rule(f"{column} must be a number above 0", (value > 0) & (value < float("inf")) & ~F.isnan(value))
+
+
+def typed_cells(schema: StructType) -> list[Rule]:
+    """A cell must fit its column's type: what passes can be cast."""
+    return [
+        Rule(f"{f.name} must be of type {f.dataType.simpleString()}", F.col(f.name).try_cast(f.dataType).isNotNull())
+        for f in schema.fields
+    ]
 
 
 def not_blank(column: str) -> Rule:
@@ -123,8 +134,16 @@ def check_not_empty(df: DataFrame) -> None:
         raise ValueError("the table is empty")
 
 
-def check_duplicates(df: DataFrame) -> DataFrame:
-    """Rows that occur more than once, with their number."""
+def check_duplicates(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Rows that occur more than once, with their number.
+
+    For ``wide`` rows, such as whole texts, two hashes of the row are counted first, and only rows
+    whose hashes repeat cross the shuffle as they are.
+    """
+    if wide:
+        hashes = df.withColumns({"_h1": F.xxhash64(*df.columns), "_h2": F.hash(*reversed(df.columns))})
+        often = hashes.groupBy("_h1", "_h2").agg(F.count("*").alias("_n")).filter("_n > 1")
+        df = hashes.join(often, ["_h1", "_h2"], "left_semi").select(*df.columns)
     return df.groupBy(*df.columns).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 
 

@@ -20,7 +20,7 @@ def not_empty(t: Tables):
     SELECT md5(text) AS text_hash, lang, source, count(*) AS copies FROM documents
     GROUP BY text, lang, source HAVING count(*) > 1""")
 def repeated_documents(t: Tables):
-    found = V.check_duplicates(t.documents.select("text", "lang", "source"))
+    found = V.check_duplicates(t.documents.select("text", "lang", "source"), wide=True)
     return found.select(F.md5("text").alias("text_hash"), "lang", "source", "copies")
 
 

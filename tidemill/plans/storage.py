@@ -12,7 +12,7 @@ from tidemill.functions import scalar as S
 from tidemill.operators import aggregates as A, changes as C, graph as G, joins as J, ordering as O, shape as P
 from tidemill.plans.aggregates import as_double
 from tidemill.plans.registry import Tables, query
-from tidemill.session import shared_dir
+from tidemill.session import materialise, shared_dir
 from tidemill.sources import files as R, sinks as K
 
 CUSTOMER = "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -45,7 +45,7 @@ def query_with_parameters(t: Tables):
 @query("S4", "SELECT event_id, user_id, event_type, value FROM events")
 def events_through_json(t: Tables):
     record = F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("record")
-    arrays = O.ordered_array(t.events.select("event_type", record), ["event_type"], "record", max_items=1_000)
+    arrays = O.ordered_array(t.events.select("event_type", record), ["event_type"], "record", max_items=100_000)
     path = t.scratch("json")
     text = F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("value")
     arrays.select(text, "event_type", "part").write.partitionBy("event_type", "part").text(path)
@@ -107,11 +107,11 @@ def rows_by_file(t: Tables):
     return counts.groupBy(folder).agg(F.sum("n_rows").alias("n_rows"))
 
 
-@query("K2 K16", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("K2 K16", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def appended_orders(t: Tables):
     name = f"{database()}.orders"
     K.ensure_table(t.spark, name, ORDER)
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         K.append(P.eq_filter(t.orders, "o_orderstatus", status), name)
     return t.spark.table(name)
 
@@ -143,14 +143,14 @@ def inserted_from_query(t: Tables):
     return t.spark.table(name)
 
 
-# A target of the finished orders, and a later delivery of all pending and finished ones with new sums.
-TARGET = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F')"
+# A target of the finished and open orders, and a later delivery of all pending and finished ones with new sums.
+TARGET = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O'))"
 LATER = """(SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + version AS o_totalprice, version
             FROM orders, (VALUES (1), (2)) AS v(version) WHERE o_orderstatus IN ('F', 'P'))"""
 
 
 def target(t: Tables) -> DataFrame:
-    return P.eq_filter(t.orders.select(*ORDER_COLUMNS), "o_orderstatus", "F")
+    return P.in_list(t.orders.select(*ORDER_COLUMNS), "o_orderstatus", ["F", "O"])
 
 
 def later(t: Tables) -> DataFrame:
@@ -284,9 +284,10 @@ def event_messages(t: Tables):
     FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 5000""")
 def joined_with_temp_table(t: Tables):
     grown = P.greater_than(t.customer, "c_acctbal", 5000).select("c_custkey", "c_name")
-    with K.temp_table(grown, "tidemill_temp_users") as users:
+    with K.temp_table(grown, f"tidemill_{uuid.uuid4().hex[:12]}") as users:
         found = users.join(t.bookings, F.col("c_custkey") == F.col("o_custkey")).select("c_name", "amount")
-    return as_double(found, "amount")
+        result = materialise(as_double(found, "amount"), "temp-join")
+    return result
 
 
 @query("K16", "SELECT o_custkey AS user_id, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(10,2)))::DOUBLE AS total FROM orders GROUP BY 1")

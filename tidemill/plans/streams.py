@@ -86,10 +86,10 @@ def land_orders(t: Tables, status: str, path: str) -> None:
     rows.write.mode("append").option("header", True).csv(path)
 
 
-@query("S12 R5", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("S12 R5", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def files_taken_once(t: Tables):
     src, dst, checkpoint = t.scratch("src"), t.scratch("dst"), t.scratch("checkpoint")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         land_orders(t, status, src)
         for _ in range(2):
             SF.ingest_new_files(t.spark, src, dst, checkpoint, StructType.fromDDL(ORDER), glob="*.csv").awaitTermination()
@@ -282,10 +282,10 @@ def transactions_from_graph(t: Tables):
 
 @query("E7 S6 S12", """
     SELECT CAST(event_id AS INTEGER) AS id, CAST(user_id AS INTEGER) AS value FROM events
-    WHERE event_type IN ('click', 'view')""")
+    WHERE event_type <> 'error'""")
 def objects_loaded_once(t: Tables):
     src, root = t.scratch("objects"), t.scratch("loaded")
-    for kind in ("click", "view", "error"):
+    for kind in ("click", "view", "error", "signup", "purchase"):
         value = F.lit("oops") if kind == "error" else F.col("user_id").cast("string")
         rows = P.eq_filter(t.events, "event_type", kind).select(F.col("event_id").alias("id"), value.alias("value"))
         rows.write.mode("append").option("header", True).csv(src)

@@ -15,6 +15,7 @@ from tidemill.session import materialise, shared_dir
 
 _OVERWRITE_MODE = threading.Lock()
 _TABLE_ID = "tidemill.id"
+MAX_TOUCHED = 100_000
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -91,13 +92,32 @@ def append(df: DataFrame, name: str, cluster_by: list[str] = ()) -> None:
     laid_out(fitted(df, name), cluster_by).write.mode("append").insertInto(name)
 
 
+@contextmanager
+def _mode_of(spark: SparkSession, mode: str):
+    """A catalog table takes the overwrite mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def overwrite(df: DataFrame, name: str, root: str | None = None, cluster_by: list[str] = ()) -> None:
     """Replaces all rows of a table, also when ``df`` reads that table.
 
     The rows go to a new folder first; then the table is pointed at it. A failed write leaves the
-    table as it was, and a running reader keeps its old files.
+    table as it was, and a running reader keeps its old files. Partitions have places of their own
+    in the catalog: there the rows are stored first and then replace all partitions; if that
+    fails, a repeat completes it.
     """
     spark = df.sparkSession
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        rows = materialise(laid_out(fitted(df, name), cluster_by), "replacement")
+        with _OVERWRITE_MODE, _mode_of(spark, "static"):
+            rows.write.insertInto(name, overwrite=True)
+        return
     root = root or f"{shared_dir(spark)}/tables"
     path = version_path(name, root)
     laid_out(fitted(df, name), cluster_by).write.parquet(path)
@@ -112,14 +132,8 @@ def overwrite_partitions(df: DataFrame, name: str, partitions: list[str]) -> Non
     neither many small files nor one slow task come about. Partitions are replaced one after the
     other; after a failure in between, a repeat completes the work.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    with _OVERWRITE_MODE:  # a catalog table takes the mode from the session only
-        usual = conf.get(key)
-        conf.set(key, "dynamic")
-        try:
-            fitted(df, name).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
-        finally:
-            conf.set(key, usual)
+    with _OVERWRITE_MODE, _mode_of(df.sparkSession, "dynamic"):
+        fitted(df, name).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
 
 
 def upsert_table(
@@ -137,8 +151,9 @@ def upsert_table(
     if not partitions:
         overwrite(upsert(target, new, keys, order_by), name, root)
         return
-    # No more rows than the table has partitions; as a broadcast it prunes the scan.
-    touched = F.broadcast(new.select(*partitions).distinct())
+    touched = materialise(new.select(*partitions).distinct(), "touched")
+    if touched.count() <= MAX_TOUCHED:  # as a broadcast it prunes the scan
+        touched = F.broadcast(touched)
     near = target.join(touched, list(partitions), "left_semi").select(*target.columns)
     overwrite_partitions(materialise(upsert(near, new, keys, order_by), "upsert"), name, list(partitions))
 
@@ -164,12 +179,16 @@ def view_orders_from(
 
 @contextmanager
 def temp_table(df: DataFrame, name: str):
-    """A session table filled once and dropped at the end of the block.
+    """A session table filled once and dropped at the end of the block, so results must be taken inside.
 
     Rows are kept on executors and spill to their disks; a lost one is computed again.
     """
     df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.createOrReplaceTempView(name)
+    try:
+        df.createTempView(name)  # an error if there is a view of that name, which stays as it is
+    except Exception:
+        df.unpersist()
+        raise
     try:
         yield df.sparkSession.table(name)
     finally:

@@ -1,6 +1,6 @@
 """Incremental file ingest: every file is taken once, as the checkpoint remembers.
 
-A file without rows is remembered too and not looked at again.
+A file without rows is remembered too and not looked at again; checked ingest reports it.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemill.operators.quality import Rule, errors_of
+from tidemill.operators.quality import Rule, errors_of, typed_cells
 from tidemill.streaming.messages import append_batches
 
 # Where a row stood: file, block within the file, and a number that rises within the block.
@@ -49,6 +49,7 @@ def ingest_new_files(
 
 
 BROKEN = "_corrupt_record"
+EMPTY = "the file is empty"
 
 
 def as_text(schema: StructType) -> StructType:
@@ -58,13 +59,14 @@ def as_text(schema: StructType) -> StructType:
 
 def ingest_checked_files(
     spark: SparkSession, src: str, dst: str, rejects: str, schema: StructType, rules: list[Rule],
-    whole_file: bool = True, unique_rows: bool = True, **options,
+    whole_file: bool = True, unique_rows: bool = True, reject_empty: bool = True, **options,
 ) -> StreamingQuery:
     """Takes new files whose rows keep the rules; bad rows go to ``rejects`` with their messages.
 
     Cells are read as text, and the header as a row like others, so what is wrong is reported and
     does not stop the load. A file without the right header is not loaded; with ``whole_file`` nor is
-    one with any bad or (if ``unique_rows``) repeated row.
+    one with any bad or (if ``unique_rows``) repeated row. A header alone is reported as an empty
+    file unless ``reject_empty`` is off.
     ``dst`` and ``rejects`` are paths; batches are folders that a repeat replaces, and the
     checkpoint lies with ``dst``.
     """
@@ -76,10 +78,12 @@ def ingest_checked_files(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("row_no", F.monotonically_increasing_id()).withColumn("header", is_header)
-        lines = numbered.withColumn("errors", errors_of([whole, *required, *rules])).persist()
-        # The next two have no more rows than the batch has files, whose list the driver holds anyway.
-        headless = lines.groupBy("file_path").agg(F.max("header").alias("known")).filter("NOT known")
-        headless = F.broadcast(headless.select("file_path", F.lit(True).alias("headless")))
+        lines = numbered.withColumn("errors", errors_of([whole, *required, *rules, *typed_cells(schema)])).persist()
+        files = lines.groupBy("file_path").agg(F.max("header").alias("known"), F.count_if(~F.col("header")).alias("n"))
+        headless = files.filter("NOT known").select("file_path", F.lit(True).alias("headless"))
+        empty = files.filter("n = 0").select(
+            *[F.lit(None).cast("string").alias(n) for n in names], "file_path", F.array(F.lit(EMPTY)).alias("errors")
+        )
         rows = lines.filter("NOT header").join(headless, "file_path", "left")
         note = F.when(F.col("headless"), F.array_append("errors", F.lit(f"the header is not {','.join(names)}")))
         rows = rows.withColumn("errors", F.coalesce(note, "errors"))
@@ -91,10 +95,10 @@ def ingest_checked_files(
                 bad = bad.unionByName(copies.select(*names, "file_path", note))
             good = rows.filter(F.size("errors") == 0)
             if whole_file:
-                failed = F.broadcast(bad.select("file_path").distinct())
+                failed = bad.select("file_path").distinct()
                 good = good.join(failed, "file_path", "left_anti")
             good.select(*typed, *POSITION).write.mode("overwrite").parquet(f"{dst}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            (bad.unionByName(empty) if reject_empty else bad).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
         finally:
             lines.unpersist()
 
@@ -103,6 +107,24 @@ def ingest_checked_files(
     return writer.trigger(availableNow=True).start()
 
 
+def reject_zero_length(
+    spark: SparkSession, src: str, rejects: str, schema: StructType, glob: str | None = None
+) -> None:
+    """Records files of no bytes at all, which Spark's readers pass over. Only the listing is read; those
+    recorded before are left out."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{src.rstrip('/')}/{glob or '*'}")
+    listing = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    paths = [(f.getPath().toString(),) for f in listing if f.isFile() and f.getLen() == 0]
+    found = spark.createDataFrame(paths, "file_path STRING").select(
+        *[F.lit(None).cast("string").alias(n) for n in schema.fieldNames()], "file_path", F.array(F.lit(EMPTY)).alias("errors"),
+    )
+    known = spark.read.schema("file_path string").parquet(rejects)
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731 - listings and rows spell it differently
+    new = found.join(known.select(plain("file_path").alias("_known")).distinct(), plain("file_path") == F.col("_known"), "left_anti")
+    if not new.isEmpty():
+        new.write.mode("append").parquet(f"{rejects}/batch_id=-1")
+
+
 def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows stored by ``ingest_checked_files``, with their place and batch; empty before the first."""
     return spark.read.schema(stored_schema(schema)).parquet(path)

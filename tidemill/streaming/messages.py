@@ -9,6 +9,9 @@ from pyspark.sql.types import StructField, StructType, StringType
 from tidemill.sources.sinks import to_messages
 
 CORRUPT = "_corrupt_record"
+# What one micro-batch takes unless told otherwise.
+MAX_OFFSETS = 5_000_000
+MAX_FILES = 1_000
 
 
 def message_source(spark: SparkSession, source: str = "kafka", path: str | None = None, **options) -> DataFrame:
@@ -16,11 +19,13 @@ def message_source(spark: SparkSession, source: str = "kafka", path: str | None
 
     ``kafka`` starts at the earliest offset unless told otherwise; ``text`` follows a folder of
     line files. Kafka splits by topic partition, and ``minPartitions`` splits a hot one further.
+    A micro-batch takes a part of a long backlog only, unless the limits are set otherwise.
     """
     if source == "kafka":
-        options = {"startingOffsets": "earliest", **options}
+        options = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": MAX_OFFSETS, **options}
         stream = spark.readStream.format("kafka").options(**options).load()
         return stream.select(F.col("value").cast("string").alias("value"))
+    options = {"maxFilesPerTrigger": MAX_FILES, **options}
     return spark.readStream.format(source).options(**options).load(path).select("value")
 
 
