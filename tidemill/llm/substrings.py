@@ -2,19 +2,22 @@
 
 A window is twenty words in a row. Each window holds one anchor, the run of six words with the smallest
 hash in it, so equal windows have equal anchors at equal places: only suffixes around anchors that
-occur more than once can repeat. They are split by a prefix of variable length: six words, or, where
-that prefix is too frequent for memory, all twenty. Prefixes are grouped into bins that fit into
-memory; in each the suffixes are sorted, neighbours are compared (the tree's leaves in order and the
-depths of the nodes between them), and nodes twenty or more words deep are the repeats.
+occur more than once can repeat. They are split by a prefix of variable length: the anchor's six words,
+or, where that prefix is too frequent for memory, all twenty. Prefixes are grouped into bins that fit
+into memory; in each the suffixes are put in the order of the tree's leaves, neighbours are compared
+(the depths of the nodes between them), and nodes twenty words deep are the repeats.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemill.llm.shingles import WordHashes, runs
@@ -24,85 +27,132 @@ WINDOW = 20
 ANCHOR = 6
 BIN_ROWS = 40_000  # suffix groups in one tree
 FREQUENT = 4_000  # occurrences of a short prefix from which it is lengthened
-_PIECE = 200_000
+GROUP_WORDS = 400_000  # words of short texts hashed together
+_PLACE_BITS = 24
+
+
+def _smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` values in a row, by doubling."""
+    size = 1
+    while 2 * size <= width:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
 def anchors(hashes: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``anchor`` words, and for each window the place of its anchor."""
+    """Hashes of all runs of ``anchor`` words, and for each window the place of its anchor: the run of
+    smallest hash, the first of equal ones, so that only the window's words decide."""
     grams, inside = runs(hashes, anchor), window - anchor + 1
     n = len(hashes) - window + 1
     if n <= 0:
         return grams, np.zeros(0, np.int64)
-    at = np.empty(n, np.int64)
-    for i in range(0, n, _PIECE):  # in pieces, for very long texts
-        j = min(n, i + _PIECE)
-        at[i:j] = np.lib.stride_tricks.sliding_window_view(grams[i : j + inside - 1], inside).argmin(axis=1) + np.arange(i, j)
-    return grams, at
+    bits = np.uint64(_PLACE_BITS)
+    found = np.empty(n, np.int64)
+    step = (1 << _PLACE_BITS) - window  # places in a piece fit into the low bits
+    for at in range(0, n, step):
+        piece = grams[at : min(n, at + step) + inside - 1]
+        marked = (piece >> bits << bits) | np.arange(len(piece), dtype=np.uint64)
+        found[at : at + step] = at + (_smallest(marked, inside) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    return grams, found
 
 
 def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 
 
+class _Texts:
+    """Words of several texts one after the other, with the anchors of windows that lie in one text."""
+
+    def __init__(self, texts: list[str | None], memo: WordHashes, window: int):
+        parts = [_words(t) for t in texts]
+        self.words = list(chain.from_iterable(parts))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.begins = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        self.grams, at = anchors(memo.of(self.words), window)
+        self.starts = np.flatnonzero(owner[: len(at)] == owner[window - 1 :]) if len(at) else at
+        self.at = at[self.starts]  # rises with the starts
+        self.owner = owner
+
+
+def _grouped(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about as many words as are hashed together; a long text is one of its own."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)) // (6 * GROUP_WORDS)
+    cuts = np.flatnonzero(np.diff(sizes)) + 1
+    for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def _anchor_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            parts, size = [], 0
-            rows = zip(*(batch.column(c).to_pylist() for c in ("no_id", "key", "text")))
-            for i, (no_id, key, text) in enumerate(rows):
-                grams, at = anchors(memo.of(_words(text)), window)
-                if len(at):
-                    at = at[np.r_[True, at[1:] != at[:-1]]]
-                    parts.append((grams[at].view(np.int64), np.full(len(at), no_id), np.full(len(at), key), at))
-                    size += len(at)
-                if parts and (size > 100_000 or i == batch.num_rows - 1):
-                    prefix, no_ids, keys, places = (np.concatenate(c) for c in zip(*parts))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(prefix), pa.array(no_ids, pa.bool_()), pa.array(keys), pa.array(places.astype(np.int32))],
-                        ["prefix", "no_id", "key", "at"],
-                    )
-                    parts, size = [], 0
+            for part in _grouped(batch):
+                texts = _Texts(part.column("text").to_pylist(), memo, window)
+                at = texts.at[np.r_[True, texts.at[1:] != texts.at[:-1]]] if len(texts.at) else texts.at
+                doc = texts.owner[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(texts.grams[at].view(np.int64)), part.column("no_id").take(pa.array(doc)), part.column("key").take(pa.array(doc)),
+                     pa.array((at - texts.begins[doc]).astype(np.int32))], ["prefix", "no_id", "key", "at"],
+                )
 
     return run
 
 
-SUFFIXES = "bin BIGINT, no_id BOOLEAN, key BIGINT, version BIGINT, start INT, words BINARY, deep BINARY"
+SUFFIXES = "prefix BIGINT, no_id BOOLEAN, key BIGINT, version BIGINT, start INT, words BINARY, deep BINARY"
 
 
-def _suffix_rows(window: int, bins: int):
-    """Suffixes around the anchors that occur elsewhere: for a short prefix one row with all windows of
-    the anchor, for a lengthened prefix a row per window, dealt further by salt."""
+def _suffix_rows(window: int):
+    """Suffixes around the anchors that occur elsewhere: below a short prefix one row with all windows of
+    the anchor, whose own words the prefix stands for; below a lengthened prefix, which is all of the
+    window, a row per window, dealt further by salt."""
     schema = pa.schema([
-        ("bin", pa.int64()), ("no_id", pa.bool_()), ("key", pa.int64()), ("version", pa.int64()), ("start", pa.int32()),
+        ("prefix", pa.int64()), ("no_id", pa.bool_()), ("key", pa.int64()), ("version", pa.int64()), ("start", pa.int32()),
         ("words", pa.binary()), ("deep", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            rows = []
-            names = ("no_id", "key", "version", "text", "places", "salts")
-            for no_id, key, version, text, places, salts in zip(*(batch.column(c).to_pylist() for c in names)):
-                own = _words(text)
-                grams, at = anchors(memo.of(own), window)
-                for place, n_salts in sorted(set(zip(places, salts))):
-                    low, high = np.searchsorted(at, [place, place + 1])  # windows of this anchor
-                    if low == high:
-                        continue
-                    if not n_salts:
-                        rows.append((int(grams[place]) % bins, no_id, key, version, low, b" ".join(own[low : high + window - 1]), None))
-                        continue
-                    for start in range(low, high):
-                        words = b" ".join(own[start : start + window])
-                        deep = hashlib.md5(words).digest()
-                        salt = (key * 0x9E3779B1 >> 7) % n_salts
-                        rows.append(((int.from_bytes(deep[:7], "big") + salt * 7919) % bins, no_id, key, version, start, words, deep))
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+            for part in _grouped(batch):
+                texts = _Texts(part.column("text").to_pylist(), memo, window)
+                places, salts = part.column("places"), part.column("salts")
+                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(places).to_numpy(zero_copy_only=False))
+                spots = texts.begins[doc] + places.flatten().to_numpy()
+                order = np.unique(spots, return_index=True)[1]
+                doc, spots, salt = doc[order], spots[order], salts.flatten().to_numpy()[order]
+                low, high = np.searchsorted(texts.at, spots), np.searchsorted(texts.at, spots, "right")
+                held = (low < high) & (doc < part.num_rows)
+                doc, spots, salt, low, high = doc[held], spots[held], salt[held], low[held], high[held]
+                first, last = texts.starts[low], texts.starts[high - 1] + window
+                joined = b" ".join(texts.words)
+                offset = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts.words), np.int64, len(texts.words)) + 1)])
+                begin = first - texts.begins[doc]
+                short = np.flatnonzero(salt == 0)
+                a, b = offset[first[short]].tolist(), offset[spots[short]].tolist()
+                c, d = offset[spots[short] + ANCHOR].tolist(), (offset[last[short]] - 1).tolist()
+                own = [joined[w:x] + b"\n" + (b" " + joined[y:z] if z > y else b"") for w, x, y, z in zip(a, b, c, d)]
+                keys, nos, versions = (part.column(n) for n in ("key", "no_id", "version"))
+
+                def out(prefix, rows, start, words, deep):
+                    rows = pa.array(rows)
+                    return pa.RecordBatch.from_arrays([
+                        pa.array(prefix, pa.int64()), nos.take(rows), keys.take(rows), versions.take(rows), pa.array(start.astype(np.int32)),
+                        pa.array(words, pa.binary()), pa.array(deep, pa.binary()),
+                    ], schema=schema)
+
+                yield out(texts.grams[spots[short]].view(np.int64), doc[short], begin[short], own, [None] * len(own))
+                long = np.flatnonzero(salt)
+                row = np.repeat(long, (high - low)[long])
+                if len(row):
+                    step = np.arange(len(row)) - np.repeat(np.cumsum((high - low)[long]) - (high - low)[long], (high - low)[long])
+                    start = first[row] + step
+                    deep = [hashlib.md5(joined[x:y]).digest() for x, y in zip(offset[start].tolist(), (offset[start + window] - 1).tolist())]
+                    spread = (keys.take(pa.array(doc[row])).to_numpy() * 0x9E3779B1 >> 7) % salt[row]
+                    mixed = np.frombuffer(b"".join(deep), np.int64)[::2] + spread * np.int64(0x1003F)
+                    yield out(mixed, doc[row], start - texts.begins[doc[row]], [b""] * len(row), deep)
 
     return run
 
@@ -110,63 +160,84 @@ def _suffix_rows(window: int, bins: int):
 FOUND = "deep BINARY, no_id BOOLEAN, key BIGINT, version BIGINT, start INT, stop INT"
 
 
-def repeats(windows: np.ndarray, order_of: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of suffixes cut at window depth (rows of word numbers) those that start earlier elsewhere, and
-    the first of each node. ``order_of`` ranks places in the corpus, ``place`` numbers them.
+def repeats(prefix: np.ndarray, windows: np.ndarray, order_of: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of suffixes cut at window depth those that start earlier elsewhere, and the first of each node.
 
-    Sorted suffixes are the leaves of the tree from left to right; the words that neighbours share
-    are the depth of the node that joins them; nodes as deep as the window are the repeats.
+    ``prefix`` numbers the subtree, ``windows`` the words below it; ``order_of`` ranks places in the
+    corpus, ``place`` numbers them. Suffixes are put in an order in which equal paths are
+    neighbours (children of a node by hash): the leaves of the tree from left to right. The words
+    that neighbours share are the depth of the node that joins them; nodes as deep as the
+    window are the repeats.
     """
-    by_place = np.argsort(order_of, kind="stable")
-    wide = np.ascontiguousarray(windows[by_place].astype(">u4")).view(f"V{4 * windows.shape[1]}").ravel()
-    order = by_place[np.argsort(wide, kind="stable")]
-    leaves = windows[order]
+    depth = windows.shape[1]
+    path = np.zeros(len(windows), np.uint64)
+    half = path
+    for k in range(depth):
+        path = (path + windows[:, k].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        path ^= path >> np.uint64(31)
+        half = path if k == depth // 2 else half
+    order = np.lexsort((order_of, path, half, prefix))
+    leaves, tree = windows[order], prefix[order]
     same = leaves[1:] == leaves[:-1]
-    depth = np.where(same.all(axis=1), windows.shape[1], same.argmin(axis=1))
-    first = np.r_[True, depth < windows.shape[1]]
+    shared = np.where(same.all(axis=1), depth, same.argmin(axis=1)) if len(same) else np.zeros(0, np.int64)
+    first = np.r_[True, (shared < depth) | (tree[1:] != tree[:-1])]
     head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-    repeated = np.zeros(len(order), bool)
+    repeated, heads = np.zeros(len(order), bool), np.zeros(len(order), bool)
     repeated[order] = place[order] != place[head]
-    heads = np.zeros(len(order), bool)
     heads[order[first]] = True
     return repeated, heads
 
 
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = len(self)
+        return found
+
+
 def _tree(window: int):
     schema = pa.schema([
         ("deep", pa.binary()), ("no_id", pa.bool_()), ("key", pa.int64()), ("version", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()),
     ])
+    width = window - ANCHOR + 1  # words of a window, its anchor being one
 
     def run(table: pa.Table) -> pa.Table:
-        numbers: dict[bytes, int] = {}
-        flat, sizes = [], []
-        for words in table.column("words").to_pylist():
-            own = words.split(b" ")
-            flat.extend(numbers.setdefault(w, len(numbers)) for w in own)
-            sizes.append(len(own))
-        no_id, key, version = (table.column(c).to_numpy() for c in ("no_id", "key", "version"))
-        deep = table.column("deep").to_pylist()
-        sizes = np.array(sizes)
-        begins, counts = np.cumsum(sizes) - sizes, sizes - window + 1
-        row = np.repeat(np.arange(len(sizes)), counts)
-        step = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        numbers = _Numbers()
+        table = table.combine_chunks()
+        deep = table.column("deep")
+        long = pc.is_valid(deep).to_numpy()
+        short, long = np.flatnonzero(~long), np.flatnonzero(long)
+        words = table.column("words").take(pa.array(short)).to_pylist()
+        flat = np.fromiter(map(numbers.__getitem__, b" ".join(words).split(b" ")), np.int64, sum(w.count(b" ") + 1 for w in words)) if words else np.zeros(0, np.int64)
+        sizes = np.array([w.count(b" ") + 1 for w in words], np.int64)
+        begins, counts = np.cumsum(sizes) - sizes, sizes - width + 1
+        local = np.repeat(np.arange(len(sizes)), counts)
+        step = np.arange(len(local)) - np.repeat(np.cumsum(counts) - counts, counts)
+        windows = flat[(begins[local] + step)[:, None] + np.arange(width)] if len(local) else np.zeros((0, width), np.int64)
+        row = np.concatenate([short[local], long])
+        step = np.concatenate([step, np.zeros(len(long), np.int64)])
+        windows = np.concatenate([windows, np.zeros((len(long), width), np.int64)])
+        digests = np.array([numbers[d] for d in deep.take(pa.array(long)).to_pylist()], np.int64)
+        subtree = np.unique(table.column("prefix").to_numpy()[short], return_inverse=True)[1]
+        prefix = np.concatenate([subtree[local], len(sizes) + digests])
+        no_id, key, version = (table.column(c).to_numpy()[row] for c in ("no_id", "key", "version"))
         start = table.column("start").to_numpy()[row] + step
-        windows = np.array(flat, np.int32)[(begins[row] + step)[:, None] + np.arange(window)]
-        order = np.lexsort((start, version[row], key[row], no_id[row]))
-        moved = np.r_[True, np.any([x[row][order][1:] != x[row][order][:-1] for x in (no_id, key, version)] + [start[order][1:] != start[order][:-1]], axis=0)]
+        order = np.lexsort((start, version, key, no_id))
+        moved = reduce(np.logical_or, (x[order][1:] != x[order][:-1] for x in (no_id, key, version, start)))
         rank, place = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        rank[order], place[order] = np.arange(len(order)), np.cumsum(moved)
-        repeated, heads = repeats(windows, rank, place)
+        rank[order], place[order] = np.arange(len(order)), np.cumsum(np.r_[True, moved])
+        repeated, heads = repeats(prefix, windows, rank, place)
         # neighbouring windows of one suffix group make one span
-        out, at = [], np.flatnonzero(repeated)
-        cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(row[at]) != 0)]) if len(at) else []
-        for i, j in zip(cut, np.r_[cut[1:], len(at)] if len(at) else []):
-            a, b = at[i], at[int(j) - 1]
-            out.append((None, no_id[row[a]], key[row[a]], version[row[a]], start[a], start[b] + window))
-        for a in np.flatnonzero(heads):
-            if deep[row[a]] is not None:  # the first of this salt: compared with those of the others
-                out.append((deep[row[a]], no_id[row[a]], key[row[a]], version[row[a]], start[a], start[a] + window))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, schema.types)], schema=schema)
+        at = np.flatnonzero(repeated)
+        cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(row[at]) != 0)][: len(at)])
+        a, b = at[cut], at[np.r_[cut[1:], len(at)][: len(cut)] - 1]
+        # the first of a salt is still to be compared with those of the others
+        firsts = np.flatnonzero(heads & (prefix >= len(sizes)))
+        every, ends = np.concatenate([a, firsts]), np.concatenate([b, firsts])
+        label = pa.concat_arrays([pa.nulls(len(a), pa.binary()), deep.take(pa.array(row[firsts])).combine_chunks().cast(pa.binary())])
+        return pa.Table.from_arrays([
+            label, pa.array(no_id[every]), pa.array(key[every]), pa.array(version[every]), pa.array(start[every].astype(np.int32)),
+            pa.array((start[ends] + window).astype(np.int32)),
+        ], schema=schema)
 
     return run
 
@@ -178,6 +249,9 @@ def _kept(window: int, with_text: bool):
             names = ("version", "text", "copy", "spans")
             for version, text, copy, spans in zip(*(batch.column(c).to_pylist() for c in names)):
                 own = _words(text)
+                if not spans and copy == 1:
+                    out.append((len(own), 0, hashlib.sha256(b" ".join(own)).hexdigest(), text if with_text else None))
+                    continue
                 gone = np.zeros(len(own) + 1, np.int64)
                 for s in spans or ():
                     if s["version"] == version:
@@ -225,8 +299,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
         .agg(F.collect_list(F.struct("at", "salts")).alias("spots"))
         .select("no_id", "key", F.col("spots.at").alias("places"), F.col("spots.salts").alias("salts"))
     )
-    suffixes = rows.join(places, ["no_id", "key"]).mapInArrow(_suffix_rows(window, bins), SUFFIXES)
-    found = suffixes.groupBy("bin").applyInArrow(_tree(window), FOUND)
+    suffixes = rows.join(places, ["no_id", "key"]).mapInArrow(_suffix_rows(window), SUFFIXES)
+    found = suffixes.groupBy(F.pmod("prefix", F.lit(bins))).applyInArrow(_tree(window), FOUND)
     # of the first ones of all salts of a lengthened prefix only the very first is no repeat
     group = F.coalesce("deep", F.concat(F.lit("-"), F.col("key").cast("string"), F.lit(" "), F.col("start").cast("string")).cast("binary"))
     firsts = Window.partitionBy("group").orderBy("no_id", "key", "version", "start")
@@ -235,8 +309,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
         found.where(F.col("deep").isNull() | (F.col("leader") != F.struct("no_id", "key", "version", "start")))
         .groupBy("no_id", "key").agg(F.collect_list(F.struct("version", "start", "stop")).alias("spans"))
     )
-    same = Window.partitionBy("no_id", "key", "version").orderBy("version")
-    result = rows.withColumn("copy", F.row_number().over(same)).join(spans, ["no_id", "key"], "left")
+    # by the keys of the joins, so that texts are dealt out once for all of them
+    same = Window.partitionBy("no_id", "key").orderBy("version")
+    copy = F.row_number().over(same) - F.rank().over(same) + 1
+    result = rows.withColumn("copy", copy).join(spans, ["no_id", "key"], "left")
     kind = rows.schema["doc"].dataType.simpleString()
     return result.select("doc", "version", "text", "copy", "spans").mapInArrow(
         _kept(window, with_text), f"doc {kind}, n_words BIGINT, n_removed BIGINT, kept_sha256 STRING, kept_text STRING"
