@@ -253,8 +253,8 @@ def nearest(
     dim = sizes["dim"]
     rows = rows.where(F.size("v") == dim)
     same = Window.partitionBy("v").orderBy("vec_id")
-    kept = rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).select("vec_id", "v", "copy")
-    kept = materialise(kept, "vectors")
+    kept = rows.withColumn("copy", F.dense_rank().over(same)).where(F.col("copy") <= k + 1).select("vec_id", "v", "copy")
+    kept = materialise(kept.dropDuplicates(["v", "vec_id"]), "vectors")
     once = kept.where("copy = 1")
     longest = float(np.sqrt(once.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]))
     sample = bounded_sample(once.select("vec_id", "v"), F.col("vec_id"), min(SAMPLE, SAMPLE_BYTES // (8 * dim) + 1))

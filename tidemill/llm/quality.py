@@ -114,7 +114,8 @@ class Network:
         d_out = ((p - y) / len(y)).astype(np.float32)
         d_hidden = np.outer(d_out, w["out"]) * (hidden > 0)
         d_pooled = d_hidden @ w["dense"].T
-        is_most = vectors == most[owner]
+        is_most = (vectors == most[owner]).astype(np.float32)
+        is_most /= np.add.reduceat(is_most, starts)[owner]  # overlapping chunks may share a maximum
         d_vectors = (d_pooled[:, :PER_CHUNK] / n[:, None])[owner] + d_pooled[:, PER_CHUNK:][owner] * is_most
         d_conv = d_vectors[:, :FILTERS] * (vectors[:, :FILTERS] > 0)
         spots = where[:, :, None] * STRIDE + np.arange(WIDTH)

@@ -217,8 +217,8 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_stems(rows: DataFrame, least_texts: int = 6, least_gain: float = 1.5, most: int = 3000) -> list[tuple[str, int, float]]:
     """Words and beginnings of words that toxic texts have more often, with their log-odds.
 
-    ``rows``: ``text, label``, a bounded sample. A longer stem is kept only where it says more than
-    the shorter one it begins with. ``most`` bounds the lexicon, the strongest first.
+    ``rows``: ``text, label``, a bounded sample. Of stems that occur in the same places the longest is
+    kept, and otherwise a longer stem only where it says more than the shorter one it begins with. ``most`` bounds the lexicon, the strongest first.
     """
     counts = (
         rows.mapInArrow(_stem_counts, "stem STRING, label INT, n BIGINT, texts BIGINT").groupBy("stem")
@@ -232,7 +232,9 @@ def learn_stems(rows: DataFrame, least_texts: int = 6, least_gain: float = 1.5,
         counts.where("stem <> ''").withColumn("gain", gain).where((F.col("gain") >= least_gain) & (F.col("texts1") > F.col("texts0") / 2))
         .orderBy(F.desc(F.col("gain") * F.col("texts1")), "stem").limit(most).collect()
     )
-    gains = {r["stem"]: r["gain"] for r in strong}
+    n1 = {r["stem"]: r["n1"] for r in strong}
+    shadowed = {s.rstrip("$")[:-1] for s, n in n1.items() if n1.get(s.rstrip("$")[:-1]) == n}
+    gains = {r["stem"]: r["gain"] for r in strong if r["stem"] not in shadowed}
     kept = []
     for stem, weight in gains.items():
         bare = stem.rstrip("$")
