@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.operators.changes import new_rows
 from tidemill.operators.modelling import Dimension, new_members, split_entities, with_key
 from tidemill.operators.quality import rules_for, split_valid
 from tidemill.sources.sinks import append, ensure_table, fitted, overwrite
+from tidemill.streaming.files import ingest_new_files
 
 # Table columns, in the order in which references allow them to be made.
 TABLES = {
@@ -33,6 +35,53 @@ REJECTS = {
 }
 
 
+# Raw files: columns and name patterns.
+RAW = {
+    "users": (
+        "user_id STRING, name STRING, surname STRING, age INT, email STRING, phone STRING, card_number STRING",
+        "users_*.csv",
+    ),
+    "orders": (
+        "order_id INT, product STRING, quantity INT, price_per_unit DECIMAL(10,2), total_price DECIMAL(10,2), "
+        "card_number STRING, user_id STRING",
+        "orders_*.csv",
+    ),
+    "deliveries": (
+        "delivery_id STRING, order_id INT, product STRING, company STRING, cost DECIMAL(10,2), courier_name STRING, "
+        "courier_phone STRING, start_time DATE, end_time DATE, city STRING, warehouse STRING, address STRING",
+        "deliveries_*.csv",
+    ),
+}
+
+
+def land_files(
+    spark: SparkSession, src: str | dict[str, str], root: str, archive: str | None = None
+) -> dict[str, DataFrame]:
+    """Takes new raw files from ``src``, each once, to ``root/raw``; returns all raw rows so far by kind.
+
+    ``src`` is one folder whose file names tell the kind, or a folder for each kind. Files that were
+    read move to ``archive`` when it is given. A file with another header stops its load.
+    """
+    running = []
+    for name, (ddl, pattern) in RAW.items():
+        schema, (folder, glob) = StructType.fromDDL(ddl), (src, pattern) if isinstance(src, str) else (src[name], "*.csv")
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/raw/{name}")
+        running.append(ingest_new_files(
+            spark, folder, f"{root}/raw/{name}", f"{root}/raw_checkpoints/{name}", schema, glob=glob, archive=archive
+        ))
+    for query in running:
+        query.awaitTermination()
+    return {name: spark.read.schema(ddl).parquet(f"{root}/raw/{name}") for name, (ddl, _) in RAW.items()}
+
+
+def run_files(
+    spark: SparkSession, src: str | dict[str, str], root: str, database: str, archive: str | None = None
+) -> DataFrame:
+    """Lands new files and extends the layer from all raw rows; returns the orders table."""
+    raw = land_files(spark, src, root, archive)
+    return run(spark, raw["users"], raw["orders"], root, database, raw["deliveries"])
+
+
 def ensure_tables(spark: SparkSession, root: str, database: str) -> None:
     for name, schema in (TABLES | REJECTS).items():
         ensure_table(spark, f"{database}.{name}", schema, root)

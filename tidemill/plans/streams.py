@@ -214,6 +214,52 @@ def normalised_deliveries_from_raw(t: Tables):
     )
 
 
+@query("E4 V8 S12", """
+    SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
+           dense_rank() OVER (ORDER BY o_orderpriority) AS product_id
+    FROM orders""")
+def normalised_orders_from_files(t: Tables):
+    src, root, name = t.scratch("files"), t.scratch("layer"), database()
+    places = {kind: f"{src}/{kind}" for kind in normalised_layer.RAW}
+    for (kind, place), rows in zip(places.items(), raw_layer(t)):
+        names = StructType.fromDDL(normalised_layer.RAW[kind][0]).fieldNames()
+        rows.select(*names).write.option("header", True).csv(place)
+    for _ in range(2):
+        table = normalised_layer.run_files(t.spark, places, root, name)
+    return table.select("order_id", "user_id", "product_id")
+
+
+@query("E4 V5", """
+    SELECT CAST(c_custkey AS VARCHAR) AS user_id, 'age must be a whole number' AS errors FROM customer WHERE c_acctbal < 0""")
+def users_rejected_by_layer(t: Tables):
+    root, name = t.scratch("layer"), database()
+    users, orders, _ = raw_layer(t)
+    in_debt = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("user_id"))
+    good = users.join(in_debt, "user_id", "left_anti").withColumn("age", F.lit("30"))
+    bad = users.join(in_debt, "user_id").withColumn("age", F.lit("unknown"))
+    normalised_layer.run(t.spark, good.unionByName(bad), orders, root, name)
+    return t.spark.table(f"{name}.rejected_users").select("user_id", "errors")
+
+
+@query("E1 V4", "SELECT DISTINCT CAST(l_orderkey + 1 AS VARCHAR) AS order_id FROM lineitem WHERE l_returnflag = 'R'")
+def items_rejected_by_popularity(t: Tables):
+    src, root = t.scratch("items"), t.scratch("popularity")
+    places = {kind: f"{src}/{kind}" for kind in popularity_job.TABLES}
+    t.part.select((F.col("p_partkey") + 1).alias("product_id"), F.col("p_name").alias("product_name")).write.option("header", True).csv(places["products"])
+    t.orders.select((F.col("o_orderkey") + 1).alias("order_id"), F.to_date("o_orderdate").alias("order_date")).write.option("header", True).csv(places["orders"])
+    returned = F.col("l_returnflag") == "R"
+    items = t.lineitem.select(
+        returned.alias("bad"), (F.col("l_orderkey") + 1).alias("order_id"), (F.col("l_partkey") + 1).alias("product_id"),
+        F.when(returned, F.lit(3_000_000_000)).otherwise(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
+    ).distinct()
+    for bad in (True, False):
+        items.filter(F.col("bad") == bad).drop("bad").write.mode("append").option("header", True).csv(places["order_items"])
+    popularity_job.load_raw(t.spark, places, root)
+    rejects = t.spark.read.parquet(f"{root}/rejects/order_items")
+    return rejects.filter(F.array_contains("errors", "quantity must be of type int")).select("order_id").distinct()
+
+
 def raw_layer(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw users, orders and deliveries with some rows repeated."""
     user = F.col("c_custkey").cast("string").alias("user_id")
