@@ -32,7 +32,7 @@ def headline(spark, folder: str) -> dict:
         "point_filter": lambda: P.eq_filter(tables.lineitem, "l_suppkey", 7).select("l_suppkey"),
         "four_table_join": lambda: queries["lines_of_chosen_customers"].run(spark, folder),
         "top_ten_by_count": lambda: O.top_by_count(tables.lineitem, ["l_partkey"], 10),
-        "group_count": lambda: A.count_by(tables.lineitem, ["l_returnflag"]).orderBy("l_returnflag"),
+        "group_count": lambda: A.count_by(tables.lineitem, ["l_returnflag"]),
     }
 
 
