@@ -302,9 +302,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     suffixes = rows.join(places, ["no_id", "key"]).mapInArrow(_suffix_rows(window), SUFFIXES)
     found = suffixes.groupBy(F.pmod("prefix", F.lit(bins))).applyInArrow(_tree(window), FOUND)
     # of the first ones of all salts of a lengthened prefix only the very first is no repeat
-    group = F.coalesce("deep", F.concat(F.lit("-"), F.col("key").cast("string"), F.lit(" "), F.col("start").cast("string")).cast("binary"))
-    firsts = Window.partitionBy("group").orderBy("no_id", "key", "version", "start")
-    found = found.withColumn("group", group).withColumn("leader", F.first(F.struct("no_id", "key", "version", "start")).over(firsts))
+    # (other rows are dealt by their document here, and pass)
+    firsts = Window.partitionBy("deep", F.when(F.col("deep").isNull(), F.col("key"))).orderBy("no_id", "key", "version", "start")
+    found = found.withColumn("leader", F.first(F.struct("no_id", "key", "version", "start")).over(firsts))
     spans = (
         found.where(F.col("deep").isNull() | (F.col("leader") != F.struct("no_id", "key", "version", "start")))
         .groupBy("no_id", "key").agg(F.collect_list(F.struct("version", "start", "stop")).alias("spans"))
