@@ -93,6 +93,29 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN n USING (doc_id)
     """,
+    "op6_jaccard": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+        ), l AS (
+            SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+        ), e AS (
+            SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l
+        ), reach AS (
+            SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a
+        ), least_of AS (
+            SELECT a, min(b) AS b FROM reach GROUP BY a
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(least_of.b, d.doc_id)) AS component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of ON least_of.a = d.doc_id
+    """,
     "op8_decontamination": r"""
         WITH d AS (
             SELECT row_number() OVER () AS rid, doc_id,
