@@ -24,7 +24,7 @@ from tidemill.session import materialise
 WORDS = 5
 PERCENT = 80
 HUB_ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-LONG_LIST = 200  # entries from which a token counts as frequent and comes last in the order
+LONG_LIST = 8  # entries from which a token counts as frequent and comes last in the order
 # Tables are broadcast only if counted and at most so many narrow rows.
 FEW_ROWS = 500_000
 
@@ -48,7 +48,7 @@ def prefix_size(n, percent: int = PERCENT):
 def region_size(n: int, percent: int = PERCENT) -> int:
     """Tokens indexed: the prefix, and some more to make up for frequent tokens moved last."""
     p = prefix_size(n, percent)
-    return n if n <= 64 else min(n, p + 16 + p // 8)
+    return n if n <= 128 else min(n, p + 24 + p // 2)
 
 
 def _sets(shift: int, k: int, percent: int):
@@ -129,24 +129,46 @@ def hub_pairs(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_sizes_fit(F.col("n"), F.col("hub.n"), percent)).select(F.col("rid").alias("a"), F.col("hub.rid").alias("b")).distinct()
 
 
-def index_pairs(sets: DataFrame, members: DataFrame, percent: int, long_list: int) -> DataFrame:
-    """All pairs of sets in different components that can link; none that does is missed.
-
-    ``members``: ``rid, component`` of each distinct set. Sets that link share a token of their prefixes
-    in the order by hash. Tokens with long lists come last in the order instead; a set whose region
-    then holds too few others keeps the plain order, and so meets the long lists.
-    """
+def token_index(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Entries ``token, rid, n, r, i, p`` of the tokens that more than one component has: the set's size, the
+    size of its region, the token's place, and the size of its prefix. ``members``: ``rid, component``."""
     p = F.col("n") - F.ceil(percent * F.col("n") / 100 - 1e-9) + 1
-    entries = (
-        sets.select("rid", "n", "region").join(members, "rid").select("rid", "n", "component", F.size("region").alias("r"), F.posexplode("region").alias("i", "token"))
-    )
-    tokens = (
-        entries.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high").select("token", (F.col("m") > long_list).alias("frequent"))
+    entries = sets.select("rid", "n", "region").join(members, "rid").select(
+        "rid", "n", "component", F.size("region").alias("r"), F.posexplode("region").alias("i", "token")
     )
-    tokens = materialise(tokens, "shared-tokens")
+    tokens = materialise(_in_several(entries).select("token"), "shared-tokens")
     few = tokens.count() <= 2 * FEW_ROWS
-    index = materialise(entries.join(F.broadcast(tokens) if few else tokens, "token").withColumn("p", p), "index-entries")
+    index = entries.join(F.broadcast(tokens) if few else tokens, "token")
+    return materialise(index.select("token", "rid", "n", "r", "i", p.alias("p")), "index-entries")
+
+
+def _in_several(entries: DataFrame) -> DataFrame:
+    """Tokens with entries of more than one component; lists of one component are skipped whole."""
+    lists = entries.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return lists.where("low <> high").select("token", "m")
+
+
+def star_pairs(index: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The first set of each component in a list with the first of the list, where they meet often. Whole
+    components become one by these few pairs, before any are searched further."""
+    first = index.join(members, "rid").groupBy("token", "component").agg(F.min(F.struct("rid", "n", "p")).alias("one"))
+    hubs = first.groupBy("token").agg(F.min("one").alias("hub"))
+    pairs = first.join(hubs, "token").where(F.col("one.rid") != F.col("hub.rid"))
+    pairs = pairs.where(_sizes_fit(F.col("one.n"), F.col("hub.n"), percent))
+    met = pairs.groupBy(F.col("one.rid").alias("a"), F.col("hub.rid").alias("b"), F.col("one.p").alias("p")).agg(F.count("*").alias("met"))
+    return met.where("4 * met >= p").select("a", "b")
+
+
+def index_pairs(index: DataFrame, members: DataFrame, percent: int, long_list: int) -> DataFrame:
+    """All pairs of sets in different components that can link; none that does is missed.
+
+    Sets that link share a token of their prefixes in the order by hash. Tokens with long lists come
+    last in the order instead; a set whose region then holds too few others keeps the plain order,
+    and so meets the long lists.
+    """
+    entries = index.join(members, "rid")
+    tokens = materialise(_in_several(entries).select("token", (F.col("m") > long_list).alias("frequent")), "lists")
+    index = materialise(entries.join(tokens, "token"), "lists-of-several")
     moved = index.where("frequent").groupBy("rid").agg(F.count("*").alias("f"))
     index = index.join(moved, "rid", "left").withColumn("f", F.coalesce("f", F.lit(0)))
     index = index.withColumn("plain", (F.col("r") < F.col("n")) & (F.col("p") + F.col("f") > F.col("r")) | (F.col("r") == F.col("n")) & (F.col("n") - F.col("f") < F.col("p")))
@@ -177,6 +199,12 @@ def index_pairs(sets: DataFrame, members: DataFrame, percent: int, long_list: in
     return pairs.where("shared + rest >= needed").select("a", "b")
 
 
+def _members(reps: DataFrame, links: DataFrame) -> DataFrame:
+    """``rid, component`` of each distinct set by the links found so far."""
+    found = reps.join(components(links), F.col("rid") == F.col("node"), "left")
+    return materialise(found.select("rid", F.coalesce("component", "rid").alias("component")), "set-components")
+
+
 def grouped(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
     """``doc_id, th, rid, n, component`` for each row of ``docs``: hash of its text, a number of its own, size of
     its set, and the number that its component has (null without shingles)."""
@@ -189,13 +217,13 @@ def grouped(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list:
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")
     reps = sets.where("n > 0").groupBy("digest").agg(first).select("digest", F.col("first.rid").alias("rid"))
     reps = materialise(reps, "distinct-sets")
-    stars = components(verified(materialise(hub_pairs(sets, reps, percent), "hub-pairs"), sets, rows, k, percent))
-    own = reps.join(stars, F.col("rid") == F.col("node"), "left").select("digest", "rid", F.coalesce("component", "rid").alias("component"))
-    own = materialise(own, "set-components")
-    more = verified(materialise(index_pairs(sets, own.select("rid", "component"), percent, long_list), "index-pairs"), sets, rows, k, percent)
-    joined = components(stars.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    joined = joined.withColumnRenamed("component", "whole")
-    of_set = own.join(joined, F.col("rid") == F.col("node"), "left").select("digest", F.coalesce("whole", "rid").alias("component"))
+    links = verified(materialise(hub_pairs(sets, reps, percent), "hub-pairs"), sets, rows, k, percent)
+    own = _members(reps, links)
+    index = token_index(sets, own, percent)
+    for find in (lambda: star_pairs(index, own, percent), lambda: index_pairs(index, own, percent, long_list)):
+        links = links.unionByName(verified(materialise(find(), "index-pairs"), sets, rows, k, percent))
+        own = _members(reps, links)
+    of_set = reps.join(own, "rid").select("digest", "component")
     return sets.select("doc_id", "th", "rid", "n", "digest").join(of_set, "digest", "left").drop("digest")
 
 
