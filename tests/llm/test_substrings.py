@@ -56,6 +56,17 @@ def test_rows_alike_and_rows_without_id(spark):
     )
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_long_copies_and_short_texts_of_one_id(spark, seed):
+    long = prose(50 + seed, 900, 9000)
+    shorts = [prose(100 * (seed + 1) + i, 25 + i, 9000) for i in range(12)]
+    rows = [(5, " ".join(long)), (5, " ".join(long)), *((5, " ".join(s)) for s in shorts)]
+    others = [(9 + i, " ".join(s)) for i, s in enumerate(shorts)] + [(40, " ".join(long[100:700]))]
+    got = [tuple(r) for r in S.remove_repeats(documents(spark, rows + others, 1)).select("doc.doc_id", "n_words", "n_removed").collect()]
+    first = [(5, 900, 0), (5, 900, 900), *((5, len(s), 0) for s in shorts)]
+    assert sorted(got) == sorted(first + [(9 + i, len(s), len(s)) for i, s in enumerate(shorts)] + [(40, 600, 600)])
+
+
 def test_texts_and_columns_are_kept(spark):
     rows = {r["doc"]["doc_id"]: r for r in S.remove_repeats(documents(spark, enumerate(TEXTS)), with_text=True).collect()}
     assert rows[4]["kept_text"] is None and rows[6]["kept_text"] == "   " and rows[1]["kept_text"] == TEXTS[1]

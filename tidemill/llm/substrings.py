@@ -94,8 +94,8 @@ def _anchor_rows(window: int):
                 at = texts.at[np.r_[True, texts.at[1:] != texts.at[:-1]]] if len(texts.at) else texts.at
                 doc = texts.owner[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(texts.grams[at].view(np.int64)), part.column("no_id").take(pa.array(doc)), part.column("key").take(pa.array(doc)),
-                     pa.array((at - texts.begins[doc]).astype(np.int32))], ["prefix", "no_id", "key", "at"],
+                    [pa.array(texts.grams[at].view(np.int64)), *(part.column(n).take(pa.array(doc)) for n in ("no_id", "key", "version")),
+                     pa.array((at - texts.begins[doc]).astype(np.int32))], ["prefix", "no_id", "key", "version", "at"],
                 )
 
     return run
@@ -120,11 +120,14 @@ def _suffix_rows(window: int):
                 texts = _Texts(part.column("text").to_pylist(), memo, window)
                 places, salts = part.column("places"), part.column("salts")
                 doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(places).to_numpy(zero_copy_only=False))
-                spots = texts.begins[doc] + places.flatten().to_numpy()
-                order = np.unique(spots, return_index=True)[1]
-                doc, spots, salt = doc[order], spots[order], salts.flatten().to_numpy()[order]
+                spots, salt = texts.begins[doc] + places.flatten().to_numpy(), salts.flatten().to_numpy()
+                # a place counts in its own text only
+                inside = np.flatnonzero(spots < len(texts.owner))
+                inside = inside[texts.owner[spots[inside]] == doc[inside]]
+                order = inside[np.unique(spots[inside], return_index=True)[1]]
+                doc, spots, salt = doc[order], spots[order], salt[order]
                 low, high = np.searchsorted(texts.at, spots), np.searchsorted(texts.at, spots, "right")
-                held = (low < high) & (doc < part.num_rows)
+                held = low < high
                 doc, spots, salt, low, high = doc[held], spots[held], salt[held], low[held], high[held]
                 first, last = texts.starts[low], texts.starts[high - 1] + window
                 joined = b" ".join(texts.words)
@@ -246,17 +249,16 @@ def _kept(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            names = ("version", "text", "copy", "spans")
-            for version, text, copy, spans in zip(*(batch.column(c).to_pylist() for c in names)):
+            names = ("text", "copy", "spans")
+            for text, copy, spans in zip(*(batch.column(c).to_pylist() for c in names)):
                 own = _words(text)
                 if not spans and copy == 1:
                     out.append((len(own), 0, hashlib.sha256(b" ".join(own)).hexdigest(), text if with_text else None))
                     continue
                 gone = np.zeros(len(own) + 1, np.int64)
                 for s in spans or ():
-                    if s["version"] == version:
-                        gone[s["start"]] += 1
-                        gone[s["stop"]] -= 1
+                    gone[s["start"]] += 1
+                    gone[s["stop"]] -= 1
                 covered = np.cumsum(gone)[:-1] > 0
                 if copy > 1 and len(own) >= window:
                     covered[:] = True
@@ -288,18 +290,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
         F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("bigint"), version).alias("key"), version.alias("version"),
         F.struct(*(F.col(f"`{c}`") for c in others)).alias("doc"), F.col("text"),
     )
-    spots = rows.select("no_id", "key", "text").mapInArrow(_anchor_rows(window), "prefix BIGINT, no_id BOOLEAN, key BIGINT, at INT")
+    own = ["no_id", "key", "version"]  # a text: rows of one id may have several
+    spots = rows.select(*own, "text").mapInArrow(_anchor_rows(window), "prefix BIGINT, no_id BOOLEAN, key BIGINT, version BIGINT, at INT")
     often = materialise(spots.groupBy("prefix").count().where("count > 1"), "repeated-prefixes")
     salts = F.when(F.col("count") > FREQUENT, F.ceil(F.col("count") / FREQUENT)).otherwise(0).cast("int")
     often = often.select("prefix", salts.alias("salts"), "count")
     amount = often.agg(F.sum(F.when(F.col("salts") > 0, F.col("count") * 8).otherwise(F.col("count")))).first()[0] or 0
     bins = max(1, -(-amount // BIN_ROWS))
     places = (
-        spots.join(often.select("prefix", "salts"), "prefix").groupBy("no_id", "key")
-        .agg(F.collect_list(F.struct("at", "salts")).alias("spots"))
-        .select("no_id", "key", F.col("spots.at").alias("places"), F.col("spots.salts").alias("salts"))
+        spots.join(often.select("prefix", "salts"), "prefix").groupBy(*own)
+        .agg(F.collect_set(F.struct("at", "salts")).alias("spots"))
+        .select(*own, F.col("spots.at").alias("places"), F.col("spots.salts").alias("salts"))
     )
-    suffixes = rows.join(places, ["no_id", "key"]).mapInArrow(_suffix_rows(window), SUFFIXES)
+    suffixes = rows.join(places, own).mapInArrow(_suffix_rows(window), SUFFIXES)
     found = suffixes.groupBy(F.pmod("prefix", F.lit(bins))).applyInArrow(_tree(window), FOUND)
     # of the first ones of all salts of a lengthened prefix only the very first is no repeat
     # (other rows are dealt by their document here, and pass)
@@ -307,13 +310,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     found = found.withColumn("leader", F.first(F.struct("no_id", "key", "version", "start")).over(firsts))
     spans = (
         found.where(F.col("deep").isNull() | (F.col("leader") != F.struct("no_id", "key", "version", "start")))
-        .groupBy("no_id", "key").agg(F.collect_list(F.struct("version", "start", "stop")).alias("spans"))
+        .groupBy(*own).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
     # by the keys of the joins, so that texts are dealt out once for all of them
-    same = Window.partitionBy("no_id", "key").orderBy("version")
-    copy = F.row_number().over(same) - F.rank().over(same) + 1
-    result = rows.withColumn("copy", copy).join(spans, ["no_id", "key"], "left")
+    copy = F.row_number().over(Window.partitionBy(*own).orderBy("version"))
+    result = rows.withColumn("copy", copy).join(spans, own, "left")
     kind = rows.schema["doc"].dataType.simpleString()
-    return result.select("doc", "version", "text", "copy", "spans").mapInArrow(
+    return result.select("doc", "text", "copy", "spans").mapInArrow(
         _kept(window, with_text), f"doc {kind}, n_words BIGINT, n_removed BIGINT, kept_sha256 STRING, kept_text STRING"
     )
