@@ -79,3 +79,23 @@ def test_leaves_are_visited_best_first():
 
 def test_large_leaves_get_several_bins():
     assert N._bins({0: 5, 1: 5, 2: 25, 3: 4}, 10) == {0: (0, 1), 1: (0, 1), 2: (1, 3), 3: (4, 1)}
+
+
+def test_queries_of_a_bin_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(N, "QUERY_ROWS", 10, raising=False)
+    whole = N._search
+
+    def bounded(k, dim):
+        run = whole(k, dim)
+
+        def checked(queries, rows):
+            if queries.num_rows > 40:
+                raise ValueError(f"{queries.num_rows} queries at once")
+            return run(queries, rows)
+
+        return checked
+
+    monkeypatch.setattr(N, "_search", bounded)
+    rows = random_rows(600, 5)
+    got, wanted = by_query(N.nearest(table(spark, rows), every=2, recall=2.0)), brute(rows, every=2)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in wanted.items()}

@@ -22,6 +22,7 @@ SAMPLE = 20_000  # vectors the tree is fitted on, at most
 SAMPLE_BYTES = 64 << 20
 CALIBRATION = 200  # queries compared with brute force, at most
 BIN_ROWS = 20_000  # vectors searched together by one task
+QUERY_ROWS = 5_000  # queries that search them together
 
 
 @dataclass
@@ -196,6 +197,7 @@ def _bins(counts: dict[int, int], most: int) -> dict[int, tuple[int, int]]:
 
 
 def _to_bins(tree: Tree, bins: dict[int, tuple[int, int]], visits: int, dim: int):
+    """Each query to the bins of the leaves it visits."""
     schema = pa.schema([("bin", pa.int64()), ("query", pa.int64()), ("v", pa.list_(pa.float64())), ("leaves", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,9 +223,9 @@ def _search(k: int, dim: int):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         q, x = _matrix(queries.column("v"), dim), _matrix(rows.column("v"), dim)
         ids, leaf, numbers = rows.column("vec_id").to_numpy(), rows.column("leaf").to_numpy(), queries.column("query").to_numpy()
-        wanted, out = queries.column("leaves").to_pylist(), []
+        wanted, out = queries.column("leaves"), []
         for at in range(0, len(q), 256) if len(x) else ():
-            allowed = np.array([np.isin(leaf, w) for w in wanted[at : at + 256]])
+            allowed = np.array([np.isin(leaf, w) for w in wanted.slice(at, 256).to_pylist()])
             for i, found, scores in _top(q[at : at + 256], x, ids, k, allowed):
                 out.append((np.full(len(found), numbers[at + i]), ids[found], scores))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [[]] * 3
@@ -277,7 +279,11 @@ def nearest(
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("bin"), "vec_id", "v", "leaf"
     )
     sent = queries.mapInArrow(_to_bins(tree, bins, visits, dim), "bin BIGINT, query BIGINT, v ARRAY<DOUBLE>, leaves ARRAY<BIGINT>")
-    found = sent.groupBy("bin").cogroup(binned.groupBy("bin")).applyInArrow(
+    # the queries of a bin in blocks of bounded size, each with all vectors of the bin
+    blocks = max(1, -(-queries.count() // QUERY_ROWS))
+    sent = sent.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
+    binned = binned.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    found = sent.groupBy("bin", "block").cogroup(binned.groupBy("bin", "block")).applyInArrow(
         _search(k + 1, dim), "query BIGINT, vec_id BIGINT, score DOUBLE"
     )
     top = best(found, k + 1).select("query", "vec_id", "score")
