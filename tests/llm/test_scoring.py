@@ -71,3 +71,36 @@ def test_lines_and_contexts(text):
     codes = L.contexts(line)
     for i in range(2, min(len(line), 40)):
         assert codes[i] == line[i - 1] | line[i - 2] << L.BITS
+
+
+def test_rare_words_and_long_contexts_are_kept(spark):
+    # "zz<i>q" shares its symbol with all others that end alike; only the two words before "then" tell what follows it
+    rows = [(i, " ".join(f"zz{j}q before then after{j}x" for j in prose_order(i))) for i in range(60)]
+    docs = documents(spark, rows)
+    model = L.fit(docs)
+    assert len(model.filters) >= 3 and model.states.where("kinds > 0").count() >= 300
+    got = L.score(docs, model, F.lit(False)).collect()
+    # three of four words are all but certain, the fourth is one of 150
+    assert all(r["score"] / r["n_tokens"] > 0.25 * math.log10(1 / 150) - 0.25 for r in got)
+
+
+def prose_order(i):
+    return [(7 * i + 31 * j) % 150 for j in range(150)]
+
+
+def test_no_limit_on_states(spark):
+    rows = [(i, " ".join(f"a{j}b c{j}d" for j in range(5000))) for i in range(30)]
+    model = L.fit(documents(spark, rows))
+    assert model.states.where("kinds > 0").count() > 8000
+    assert "most_states" not in L.grow_tree.__code__.co_varnames
+
+
+def test_word_contexts_leave_distributions():
+    texts, memo = [[b"a", b"b"]], L.WordHashes()
+    h = memo.of([b"\n", b"a", b"b"])
+    a = L._joined(np.zeros(1, np.uint64), h[1:2])
+    keys = np.concatenate([a, L._pair(a, h[2:3])])
+    order = np.argsort(keys)
+    known = keys[order], np.array([10, 6])[order], np.array([3, 0])[order]
+    got = 10 ** L.word_scores(texts, np.log10(np.array([0.5, 0.2, 0.1])), known, [(np.zeros(1 << L._SLOT_BITS, np.uint64),) * 2], memo)
+    assert got == pytest.approx([0.5, (6 + 3 * 0.2) / 13, 0.1])

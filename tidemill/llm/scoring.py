@@ -5,6 +5,9 @@ one or two symbols are kept where their next-symbol distribution diverges from t
 symbol shorter; each kept distribution is smoothed by the shorter one's, and a symbol is scored in the
 state of the longest kept suffix before it. Within its symbol a word has its share of the counts plus
 one, so the root of the tree alone is the add-one model of single words.
+
+Below that lies a tree over whole words, kept as a table: contexts of any word and any length with the
+counts of the words after them. It grows a word at a time until no longer context can pass the test. Contexts and pairs of context and next word go by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -18,9 +21,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.llm.common import text_bytes
+from tidemill.llm.shingles import WordHashes
 from tidemill.session import materialise
 
 DEPTH = 2
@@ -29,6 +34,7 @@ SYMBOLS = 1 << BITS
 OWN = 128  # words with a symbol of their own, the most frequent
 BLOCK_BYTES = 8 << 20  # texts scored together by one task
 END_WORD = b"\n"  # stands for the end of a text; no word can hold it
+_SLOT_BITS = 19  # 64 marks in each slot of a filter; full filters let more rows through to the joins
 
 
 def words(text: str | None) -> list[bytes]:
@@ -161,14 +167,15 @@ class Model:
     train_tokens: int
     distinct: int
     tree: Tree
+    states: DataFrame  # key, n, kinds: of contexts all occurrences and kinds of next words, of pairs the occurrences
+    filters: list[tuple[np.ndarray, np.ndarray]]  # by length, of kept contexts and of those with longer ones
 
 
-def grow_tree(counts: DataFrame, own: tuple[bytes, ...], mass: np.ndarray, least: int = 30, bits: float = 1.0, most_states: int = 8_000) -> Tree:
+def grow_tree(counts: DataFrame, own: tuple[bytes, ...], mass: np.ndarray, least: int = 30, bits: float = 1.0) -> Tree:
     """``counts``: ``code, n``. A context of at least ``least`` occurrences is kept if the divergence of
     its next symbols from those of its suffix, times its occurrences, is above what its parameters cost
     (``bits`` times half the logarithm of all symbols each). Suffixes of kept contexts are kept too.
-
-    ``most_states`` is the model's capacity, the largest gains first. It bounds what is collected.
+    The symbols alone bound what is collected.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
     # one row per depth, context and next symbol
@@ -191,10 +198,7 @@ def grow_tree(counts: DataFrame, own: tuple[bytes, ...], mass: np.ndarray, least
         .groupBy("depth", "context").agg(gain.alias("gain"), F.count("*").alias("symbols"))
     )
     cost = bits * 0.5 * float(np.log(max(total, 2)))
-    kept = (
-        gains.where(F.col("gain") > F.col("symbols") * cost).orderBy(F.desc("gain"), "depth", "context")
-        .limit(most_states // DEPTH).select("depth", "context").collect()
-    )
+    kept = gains.where(F.col("gain") > F.col("symbols") * cost).select("depth", "context").collect()
     states = sorted({(d, r["context"] % SYMBOLS**d) for r in kept for d in range(1, r["depth"] + 1)})
     named = counts.sparkSession.createDataFrame([(0, 0), *states], "depth INT, context BIGINT")
     rows = places.join(F.broadcast(named), ["depth", "context"]).select("depth", "context", "next", "n").toPandas()
@@ -214,7 +218,128 @@ def _smoothed(states: list[tuple[int, int]], rows, root: np.ndarray) -> np.ndarr
         if depth:
             kinds = max(1, np.count_nonzero(counts[i]))
             p[i] = (counts[i] + kinds * p[number[depth - 1, context % SYMBOLS ** (depth - 1)]]) / (counts[i].sum() + kinds)
-    return np.log10(p)
+    return np.log10(p).astype(np.float32)
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return ~_joined(context, word)
+
+
+def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slots = (hashes & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
+    return (marks[slots] >> ((hashes >> np.uint64(_SLOT_BITS)) & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _marks(rows: DataFrame, name: str) -> np.ndarray:
+    """A filter of fixed size that lets all hashes of the column through, and few others."""
+    slot = F.col(name).bitwiseAND((1 << _SLOT_BITS) - 1)
+    mark = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {_SLOT_BITS}) & 63L as int))")
+    found = rows.groupBy(slot.alias("slot")).agg(F.bit_or(mark).alias("marks")).toPandas()
+    marks = np.zeros(1 << _SLOT_BITS, np.uint64)
+    marks[found["slot"].to_numpy(np.int64)] = found["marks"].to_numpy(np.int64).view(np.uint64)
+    return marks
+
+
+def _hashed(texts: list[list[bytes]], memo: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts in a row, each with an end before and after it, and for each how many are before it."""
+    flat, sizes = [], []
+    for text in texts:
+        flat.append(END_WORD)
+        flat.extend(text)
+        flat.append(END_WORD)
+        sizes.append(len(text) + 2)
+    before = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return memo.of(flat), before
+
+
+def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo = WordHashes()
+    for batch in batches:
+        hashes = memo.of(batch.column("word").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes.view(np.int64)), pa.array(_pair(np.zeros_like(hashes), hashes).view(np.int64)), batch.column("c")], ["word", "key", "n"]
+        )
+
+
+def _context_counts(frequent: np.ndarray, filters: list[tuple[np.ndarray, np.ndarray]]):
+    """Counts of words after contexts one word longer than the last filter's; ``below`` is the pair of the
+    suffix with the same word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, found, size, depth = WordHashes(), [], 0, len(filters) + 1
+
+        def out():
+            ctx, key, below, n = (np.concatenate(c) for c in zip(*found))
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+            at = order[first]
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(c[at].view(np.int64)) for c in (ctx, key, below)), pa.array(np.add.reduceat(n[order], first))], ["ctx", "key", "below", "n"]
+            )
+
+        for batch in batches:
+            column = batch.column("text").to_pylist()
+            for start in range(0, len(column), 1000):
+                h, before = _hashed([words(t) for t in column[start : start + 1000]], memo)
+                at = np.flatnonzero(before >= depth)
+                at = at[_marked(frequent, h[at - depth])]
+                ctx = np.zeros(len(at), np.uint64)
+                for d, (_, open_) in enumerate(filters, 1):
+                    ctx = _joined(ctx, h[at - d])
+                    held = _marked(open_, ctx)
+                    at, ctx = at[held], ctx[held]
+                if not len(at):
+                    continue
+                longer = _joined(ctx, h[at - depth])
+                key, first, n = np.unique(_pair(longer, h[at]), return_index=True, return_counts=True)
+                found.append((longer[first], key, _pair(ctx[first], h[at[first]]), n))
+                size += len(key)
+                if size > 2_000_000:
+                    yield out()
+                    found, size = [], 0
+        if found:
+            yield out()
+
+    return run
+
+
+def grow_words(rows: DataFrame, counts: DataFrame, total: int, least: int = 30, bits: float = 1.0) -> tuple[DataFrame, list[tuple[np.ndarray, np.ndarray]]]:
+    """All word contexts that pass the test of ``grow_tree``; neither number nor length has a limit.
+
+    Longer contexts are counted where one can still pass: what all of them together gain over a context
+    is at most its occurrences times the entropy of its next words, which must exceed the cost of one.
+    """
+    cost = bits * 0.5 * float(np.log(max(total, 2)))
+    single = materialise(counts.mapInArrow(_word_keys, "word BIGINT, key BIGINT, n BIGINT"), "lm-word-keys")
+    frequent, filters = _marks(single.where(F.col("n") >= least), "word"), []
+    states = single.limit(0).select("key", "n", F.col("n").alias("kinds"))
+    level = single.select("key", "n", F.lit(total).cast("bigint").alias("total"))
+    spread = F.sum(F.col("n") * F.log("n"))
+    gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / (F.col("sn") / F.col("stotal"))))
+    passes, opens = F.col("gain") > F.col("kinds") * cost, F.col("total") * F.log("total") - F.col("spread") > cost
+    while True:
+        found = rows.mapInArrow(_context_counts(frequent, list(filters)), "ctx BIGINT, key BIGINT, below BIGINT, n BIGINT")
+        found = materialise(found.groupBy("ctx", "key", "below").agg(F.sum("n").alias("n")), "lm-contexts")
+        sums = found.groupBy("ctx").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), spread.alias("spread")).where(F.col("total") >= least)
+        shorter = level.select(F.col("key").alias("below"), F.col("n").alias("sn"), F.col("total").alias("stotal"))
+        tested = found.join(sums, "ctx").join(shorter, "below").groupBy("ctx", "total", "kinds", "spread").agg(gain.alias("gain"))
+        tested = tested.select("ctx", "total", "kinds", passes.alias("kept"), opens.alias("open"))
+        tested = materialise(tested.where("kept OR open"), "lm-tested")
+        if tested.isEmpty():
+            return states, filters
+        pairs = materialise(found.join(tested, "ctx").select("key", "n", "total", "kept", "open"), "lm-pairs")
+        states = states.unionByName(pairs.where("kept").select("key", "n", F.lit(0).cast("bigint").alias("kinds")))
+        states = states.unionByName(tested.where("kept").select(F.col("ctx").alias("key"), F.col("total").alias("n"), "kinds"))
+        level = pairs.where("open").select("key", "n", "total")
+        filters.append((_marks(tested.where("kept"), "ctx"), _marks(tested.where("open"), "ctx")))
+        if not filters[-1][1].any():
+            return states, filters
 
 
 def fit(docs: DataFrame, keep: Column | None = None, **tree) -> Model:
@@ -229,26 +354,73 @@ def fit(docs: DataFrame, keep: Column | None = None, **tree) -> Model:
     for r in counts.mapInArrow(_symbol_masses(own), "symbol BIGINT, mass DOUBLE").groupBy("symbol").agg(F.sum("mass").alias("mass")).collect():
         mass[r["symbol"]] += r["mass"]
     codes = materialise(rows.mapInArrow(_code_counts(own), "code BIGINT, n BIGINT").groupBy("code").agg(F.sum("n").alias("n")), "lm-codes")
-    return Model(counts, sums["tokens"] or 0, sums["distinct"], grow_tree(codes, own, mass, **tree))
+    states, filters = grow_words(rows, counts, sums["tokens"] or 0, **tree)
+    return Model(counts, sums["tokens"] or 0, sums["distinct"], grow_tree(codes, own, mass, **tree), states, filters)
 
 
 _LOADED: dict[str, tuple[np.ndarray, Symbols]] = {}
 
 
 def tree_scores(texts: list[list[bytes]], counts: np.ndarray, tree: Tree) -> np.ndarray:
-    """log10 probability of each text; ``counts`` are those of all its words and ends, in order."""
+    """log10 probability of each word and end of the texts; ``counts`` are theirs, in order."""
     if tree.name not in _LOADED:  # one table per worker process
         _LOADED.clear()
         _LOADED[tree.name] = tree.state_of(), Symbols(tree.own)
     states, symbols = _LOADED[tree.name]
     line, starts = symbols.line(texts)
     padded = _paddings(starts)
-    each = tree.logp[states[contexts(line)], line]
     scored = np.ones(len(line), bool)
     scored[padded] = False
-    each[scored] += np.log10((counts + 1) / tree.mass[line[scored]])
-    each[padded] = 0
-    return np.add.reduceat(each, starts) if len(starts) else np.zeros(0)
+    each = tree.logp[states[contexts(line)], line][scored].astype(float)
+    return each + np.log10((counts + 1) / tree.mass[line[scored]])
+
+
+def word_scores(
+    texts: list[list[bytes]], below: np.ndarray, known: tuple[np.ndarray, np.ndarray, np.ndarray],
+    filters: list[tuple[np.ndarray, np.ndarray]], memo: WordHashes,
+) -> np.ndarray:
+    """``below`` carried on through the kept contexts of each word, shortest first; ``known`` are keys in
+    order with ``n`` and ``kinds``."""
+    keys, n, kinds = known
+    h, before = _hashed(texts, memo)
+    at = np.flatnonzero(before > 0)
+    p, place = 10.0**below, np.arange(len(at))
+    ctx = np.zeros(len(at), np.uint64)
+    for depth, (_, open_) in enumerate(filters if len(keys) else (), 1):
+        deep = before[at] >= depth
+        at, place, ctx = at[deep], place[deep], ctx[deep]
+        ctx = _joined(ctx, h[at - depth])
+        state = np.minimum(np.searchsorted(keys, ctx), len(keys) - 1)
+        held = np.flatnonzero(keys[state] == ctx)
+        state, pair, spot = state[held], _pair(ctx[held], h[at[held]]), place[held]
+        found = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        seen = np.where(keys[found] == pair, n[found], 0)
+        p[spot] = (seen + kinds[state] * p[spot]) / (n[state] + kinds[state])
+        longer = _marked(open_, ctx)
+        at, place, ctx = at[longer], place[longer], ctx[longer]
+    return np.log10(p)
+
+
+def _evidence(filters: list[tuple[np.ndarray, np.ndarray]]):
+    """Keys of the distinct contexts and pairs of a block that may be kept."""
+
+    def run(table: pa.Table) -> pa.Table:
+        memo, found = WordHashes(), [np.zeros(0, np.uint64)]
+        for start in range(0, table.num_rows, 1000):
+            h, before = _hashed([words(t) for t in table.column("text").slice(start, 1000).to_pylist()], memo)
+            at = np.flatnonzero(before > 0)
+            ctx = np.zeros(len(at), np.uint64)
+            for depth, (kept, open_) in enumerate(filters, 1):
+                deep = before[at] >= depth
+                at, ctx = at[deep], ctx[deep]
+                ctx = _joined(ctx, h[at - depth])
+                held, longer = _marked(kept, ctx), _marked(open_, ctx)
+                found.extend((np.unique(ctx[held]), np.unique(_pair(ctx[held], h[at[held]]))))
+                at, ctx = at[longer], ctx[longer]
+        keys = np.unique(np.concatenate(found)).view(np.int64)
+        return pa.table({"block": pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int64)), "key": pa.array(keys)})
+
+    return run
 
 
 def _vocabulary(table: pa.Table) -> pa.Table:
@@ -261,22 +433,28 @@ def _vocabulary(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([block] * len(found), pa.int64()), "word": pa.array(list(found), pa.binary())})
 
 
-def _score_block(train_tokens: int, distinct: int, tree: Tree):
+def _score_block(train_tokens: int, distinct: int, tree: Tree, filters: list[tuple[np.ndarray, np.ndarray]]):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("base_score", pa.float64()), ("score", pa.float64()),
     ])
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        get = dict(zip(known.column("word").to_pylist(), known.column("c").to_pylist())).get
+        counted = known.filter(pc.is_valid(known.column("word")))
+        get = dict(zip(counted.column("word").to_pylist(), counted.column("c").to_pylist())).get
+        states = known.filter(pc.is_valid(known.column("key")))
+        keys = states.column("key").to_numpy().view(np.uint64)
+        order, memo = np.argsort(keys), WordHashes()
+        held = keys[order], states.column("c").to_numpy()[order], states.column("kinds").to_numpy()[order]
         mass, parts = train_tokens + distinct + 1, []
         for at in range(0, docs.num_rows, 1000):
             texts = [words(t) for t in docs.column("text").slice(at, 1000).to_pylist()]
             counts = np.array([get(w, 0) for t in texts for w in (*t, END_WORD)], float)
             starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+            each = word_scores(texts, tree_scores(texts, counts, tree), held, filters, memo)
             parts.append((
                 np.array([len(t) + 1 for t in texts]), np.add.reduceat((counts > 0).astype(np.int64), starts),
-                np.add.reduceat(np.log10((counts + 1) / mass), starts), tree_scores(texts, counts, tree),
+                np.add.reduceat(np.log10((counts + 1) / mass), starts), np.add.reduceat(each, starts),
             ))
         found = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0)] * 4
         return pa.Table.from_arrays(
@@ -290,7 +468,7 @@ def score(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row.
 
     Texts are dealt to blocks by a hash of the row; each block gets the counts of its own distinct
-    words only, so the vocabulary is never sent whole anywhere. A null or empty text is one token, its
+    words and contexts only, so neither is ever sent whole anywhere. A null or empty text is one token, its
     end. Null and repeated ids give a row each. With nothing to learn from, every symbol is equally
     likely and ``base_score`` is 0. An empty table gives no rows.
     """
@@ -300,9 +478,13 @@ def score(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
         held_out.alias("held_out"), "text",
     )
     vocabulary = rows.groupBy("block").applyInArrow(_vocabulary, "block BIGINT, word BINARY")
-    known = vocabulary.join(model.words, "word").select("block", "word", "c")
+    nothing = F.lit(None).cast("bigint")
+    known = vocabulary.join(model.words, "word").select("block", "word", "c", nothing.alias("key"), nothing.alias("kinds"))
+    if model.filters:
+        evidence = rows.groupBy("block").applyInArrow(_evidence(model.filters), "block BIGINT, key BIGINT").join(model.states, "key")
+        known = known.unionByName(evidence.select("block", F.lit(None).cast("binary").alias("word"), F.col("n").alias("c"), "key", "kinds"))
     scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _score_block(model.train_tokens, model.distinct, model.tree),
+        _score_block(model.train_tokens, model.distinct, model.tree, model.filters),
         "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE",
     )
     return scored.withColumn("train_tokens", F.lit(model.train_tokens).cast("bigint"))
