@@ -99,3 +99,20 @@ def test_queries_of_a_bin_come_in_blocks(spark, monkeypatch):
     rows = random_rows(600, 5)
     got, wanted = by_query(N.nearest(table(spark, rows), every=2, recall=2.0)), brute(rows, every=2)
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in wanted.items()}
+
+
+def test_visits_go_on_until_the_leaves_hold_enough(spark):
+    tree = N.Tree(np.array([[0.0], [1.0], [2.0], [9.0]]), [[1, 2, 3], [], [], []])
+    assert tree.visits(np.array([[9.0]]), 1, np.array([30, 4, 1]), 21) == [[2, 1, 0]]
+    assert tree.visits(np.array([[1.0]]), 1, np.array([30, 4, 1]), 21) == [[0]]
+    rows = random_rows(60, 5)
+    got = by_query(N.nearest(table(spark, rows), every=2, recall=0.0))
+    assert len(got) == 30 and all(len(v) == 20 for v in got.values())
+
+
+def test_calibration_leaves_the_query_itself_out(spark):
+    # each query's nearest other vector is in the other leaf
+    tree = N.Tree(np.array([[0.0, 0.0], [0.0, 0.0], [5.0, 0.0]]), [[1, 2], [], []])
+    candidates = spark.createDataFrame([(0, [1.0], 0), (1, [1.0], 1)], "vec_id BIGINT, v ARRAY<DOUBLE>, leaf BIGINT")
+    queries = spark.createDataFrame([(0, [1.0])], "query BIGINT, v ARRAY<DOUBLE>")
+    assert N.calibrated_visits(tree, candidates, queries, 1, 1, 0.9) == (2, 1.0)

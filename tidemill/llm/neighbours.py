@@ -55,18 +55,20 @@ class Tree:
             todo.extend((child, rows[near == i]) for i, child in enumerate(self.children[node]))
         return found
 
-    def visits(self, q: np.ndarray, most: int) -> list[list[int]]:
-        """For each query the first ``most`` leaves, best bin first."""
+    def visits(self, q: np.ndarray, most: int, sizes: np.ndarray | None = None, least: int = 0) -> list[list[int]]:
+        """For each query the first ``most`` leaves, best bin first; more until they hold ``least`` vectors,
+        where ``sizes`` tells how many each leaf has."""
         far, found = _distances(q, self.centres), []
         for row in far:
-            queue, order = [(0.0, 0)], []
-            while queue and len(order) < most:
+            queue, order, held = [(0.0, 0)], [], 0
+            while queue and (len(order) < most or held < least):
                 _, node = heapq.heappop(queue)
                 if self.children[node]:
                     for child in self.children[node]:
                         heapq.heappush(queue, (row[child], child))
                 else:
                     order.append(int(self.leaf_of[node]))
+                    held += 0 if sizes is None else int(sizes[order[-1]])
             found.append(order)
         return found
 
@@ -165,16 +167,17 @@ def best(scored: DataFrame, k: int) -> DataFrame:
 
 def calibrated_visits(tree: Tree, candidates: DataFrame, queries: DataFrame, k: int, dim: int, recall: float) -> tuple[int, float]:
     """Widens the leaf visits until the wanted recall is reached on at most about 200 queries, whose
-    true neighbours are found among all vectors. Returns the visits and the recall measured."""
+    true neighbours are found among all vectors but their own. Returns the visits and the recall measured."""
     few = bounded_sample(queries.select("query", "v"), F.col("query"), CALIBRATION).collect()
     if not few:
         return 1, 1.0
     q, numbers = np.array([r["v"] for r in few]), np.array([r["query"] for r in few])
-    truth = best(candidates.mapInArrow(_brute(q, numbers, k, dim), "query BIGINT, vec_id BIGINT, leaf BIGINT, score DOUBLE"), k).select("query", "leaf").collect()
+    near = candidates.mapInArrow(_brute(q, numbers, k + 1, dim), "query BIGINT, vec_id BIGINT, leaf BIGINT, score DOUBLE")
+    truth = best(near.where("vec_id != query"), k).select("query", "leaf").collect()
     order = {int(n): {leaf: i for i, leaf in enumerate(o)} for n, o in zip(numbers, tree.visits(_query(q), tree.leaves))}
     needed = np.array([order[r["query"]][r["leaf"]] + 1 for r in truth])
     visits = 1
-    while visits < tree.leaves and (needed <= visits).mean() < recall:
+    while len(needed) and visits < tree.leaves and (needed <= visits).mean() < recall:
         visits = min(tree.leaves, max(visits + 1, int(visits * 1.1)))
     return visits, float((needed <= visits).mean()) if len(needed) else 1.0
 
@@ -196,7 +199,7 @@ def _bins(counts: dict[int, int], most: int) -> dict[int, tuple[int, int]]:
     return found
 
 
-def _to_bins(tree: Tree, bins: dict[int, tuple[int, int]], visits: int, dim: int):
+def _to_bins(tree: Tree, bins: dict[int, tuple[int, int]], visits: int, dim: int, sizes: np.ndarray, least: int):
     """Each query to the bins of the leaves it visits."""
     schema = pa.schema([("bin", pa.int64()), ("query", pa.int64()), ("v", pa.list_(pa.float64())), ("leaves", pa.list_(pa.int64()))])
 
@@ -205,7 +208,7 @@ def _to_bins(tree: Tree, bins: dict[int, tuple[int, int]], visits: int, dim: int
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 q, out = _matrix(part.column("v"), dim), []
-                for number, vector, order in zip(part.column("query").to_pylist(), q, tree.visits(_query(q), visits)):
+                for number, vector, order in zip(part.column("query").to_pylist(), q, tree.visits(_query(q), visits, sizes, least)):
                     wanted: dict[int, list[int]] = {}
                     for leaf in order:
                         first, n = bins.get(leaf, (0, 0))
@@ -274,11 +277,12 @@ def nearest(
     visits, _ = calibrated_visits(tree, candidates, queries, k, dim, recall)
     counts = {r["leaf"]: r["count"] for r in candidates.groupBy("leaf").count().collect()}  # a row per leaf of the tree
     bins = _bins(counts, BIN_ROWS)
+    sizes = np.array([counts.get(leaf, 0) for leaf in range(tree.leaves)])
     table = spark.createDataFrame([(leaf, first, n) for leaf, (first, n) in bins.items()], "leaf BIGINT, first BIGINT, parts BIGINT")
     binned = candidates.join(F.broadcast(table), "leaf").select(
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias("bin"), "vec_id", "v", "leaf"
     )
-    sent = queries.mapInArrow(_to_bins(tree, bins, visits, dim), "bin BIGINT, query BIGINT, v ARRAY<DOUBLE>, leaves ARRAY<BIGINT>")
+    sent = queries.mapInArrow(_to_bins(tree, bins, visits, dim, sizes, k + 1), "bin BIGINT, query BIGINT, v ARRAY<DOUBLE>, leaves ARRAY<BIGINT>")
     # the queries of a bin in blocks of bounded size, each with all vectors of the bin
     blocks = max(1, -(-queries.count() // QUERY_ROWS))
     sent = sent.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
