@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import contamination, jaccard, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, warc
+from tidemill.llm import contamination, importance, jaccard, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, warc
 from tidemill.llm.common import fold, table
 
 
@@ -69,8 +69,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_warc_members, op3_substrings, op4_neighbours, op5_mixing, op6_jaccard, op7_quality, op8_decontamination, op9_suffix_tree_scores, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_warc_members, op3_substrings, op4_neighbours, op5_mixing, op6_jaccard, op7_quality,
+        op8_decontamination, op9_suffix_tree_scores, op10_token_counts, op11_resampling,
+    )
 }
 
 ORACLES: dict[str, str] = {
@@ -199,4 +207,43 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM g
     """,
+    "op11_resampling": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+            FROM documents
+        ), x AS (
+            SELECT rid, unnest(w) AS word FROM d
+        ), y AS (
+            SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+            FROM benchmark
+        ), crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS step
+        ), h AS (
+            SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM x UNION SELECT word FROM y)
+        ), b AS (
+            SELECT word, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes FROM h
+        ), k AS (
+            SELECT word, xor(list_reduce(bytes, lambda c, b: xor(c // 256, step[xor(c, b) % 256 + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+            FROM b, crc
+        ), s AS (
+            SELECT bucket, count(*) AS n FROM x JOIN k USING (word) GROUP BY bucket
+        ), t AS (
+            SELECT bucket, count(*) AS n FROM y JOIN k USING (word) GROUP BY bucket
+        ), g AS (
+            SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM x) + 10000)::DOUBLE
+                                                / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM y) + 10000)::DOUBLE))) AS BIGINT) AS gain
+            FROM s LEFT JOIN t USING (bucket)
+        ), weights AS (
+            SELECT rid, CAST(sum(gain) AS BIGINT) AS weight FROM x JOIN k USING (word) JOIN g USING (bucket) GROUP BY rid
+        ), scores AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS able,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296))) AS BIGINT) AS score
+            FROM d LEFT JOIN weights USING (rid)
+        ), places AS (
+            SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place FROM scores
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= (SELECT count(*) FROM scores WHERE able) * 10 // 100 THEN place END AS rank
+        FROM places
+    """,
 }
