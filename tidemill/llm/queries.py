@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemill.llm import contamination, importance, jaccard, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, warc
+from tidemill.llm import (
+    contamination, filter_audit, importance, jaccard, mixing, neighbours, quality, scoring, substrings, token_counts, toxicity, url_filters, warc,
+)
 from tidemill.llm.common import fold, table
 
 
@@ -73,11 +75,21 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.judge(pages, url_filters.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_warc_members, op3_substrings, op4_neighbours, op5_mixing, op6_jaccard, op7_quality,
-        op8_decontamination, op9_suffix_tree_scores, op10_token_counts, op11_resampling,
+        op8_decontamination, op9_suffix_tree_scores, op10_token_counts, op11_resampling, op12_filter_audit,
+        op13_url_filters,
     )
 }
 
@@ -246,4 +258,41 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= (SELECT count(*) FROM scores WHERE able) * 10 // 100 THEN place END AS rank
         FROM places
     """,
+    "op12_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+            FROM documents
+        ), m AS (
+            SELECT doc_id, part,
+                   CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 16 ELSE 0 END AS mask
+            FROM d
+        ), l AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+        ), c AS (
+            SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask
+        ), f AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+        ), o AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+            FROM f a JOIN f b ON b.f <> a.f JOIN f c ON c.f NOT IN (a.f, b.f) JOIN f d ON d.f NOT IN (a.f, b.f, c.f) JOIN f e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+        ), s AS (
+            SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+                   coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0)::INTEGER AS before
+            FROM o, (SELECT unnest(range(1, 6)) AS step)
+        ), e AS (
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, mask, n, good, toxic, bit, mask & bit <> 0 AS fails, mask & before <> 0 AS earlier FROM c, s
+        ), r AS (
+            SELECT part, filter_order, step, bit,
+                   CAST(sum(CASE WHEN NOT fails AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN fails AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS removed,
+                   CAST(sum(CASE WHEN fails AND earlier THEN n ELSE 0 END) AS BIGINT) AS redundant, CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+                   CAST(sum(CASE WHEN fails AND NOT earlier THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN fails AND NOT earlier THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+            FROM e GROUP BY part, filter_order, step, bit
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM r
+    """,
 }
