@@ -1,18 +1,24 @@
-"""Product popularity: CSV files -> raw -> dds -> mart.
+"""Product popularity: CSV files -> raw -> dds -> mart, all-or-nothing.
 
-Raw is filled from new files only. The dds step follows the raw folders as a stream, so each
-batch is upserted once even when a run stops half-way, and a run without new files does nothing.
+Raw is filled from new files only. The dds step takes the raw batches after the ones its record names,
+upserts all tables and recounts the products these batches touch; the rows and how far the batches
+were taken in are named by one record. Readers see the three tables and the mart of one record, so a run
+that fails on the way changes nothing for them, and the next run goes on from its last draft.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemill.operators.aggregates import popularity
 from tidemill.operators.quality import rules_for
-from tidemill.sources.sinks import ensure_table, fitted, table_id, upsert_table
-from tidemill.streaming.files import POSITION, ingest_checked_files, reject_zero_length, stored_schema
+from tidemill.sources import releases
+from tidemill.sources.releases import Release
+from tidemill.sources.sinks import ensure_table
+from tidemill.streaming.files import POSITION, ingest_checked_files, reject_zero_length, stored
 
 # Table columns, file patterns and upsert keys.
 TABLES = {
@@ -27,6 +33,9 @@ TABLES = {
 # Orders are stored in blocks of ids, so that a batch replaces the blocks it falls into only.
 BLOCKED = {"orders", "order_items"}
 ORDERS_PER_BLOCK = 1_000_000
+# Raw batches that one turn takes in.
+BATCHES = 50
+MART_TABLE, TOUCHED = "product_popularity", "touched_products"
 MART = (
     "product_id INT, product_name STRING, total_quantity_sold BIGINT, "
     "total_revenue DECIMAL(24,2), order_count BIGINT, avg_price DECIMAL(18,2)"
@@ -55,47 +64,90 @@ def load_raw(
         reject_zero_length(spark, folder, f"{root}/rejects/{name}", StructType.fromDDL(TABLES[name][0]), glob)
 
 
-def raw_to_dds(spark: SparkSession, root: str, database: str) -> None:
-    """Upserts each raw batch not seen before; the later place in the files wins.
+def schema_of(table: str) -> str:
+    """Columns of a dds table or of the mart."""
+    if table == MART_TABLE:
+        return MART
+    return f"{TABLES[table][0]}, order_block INT" if table in BLOCKED else TABLES[table][0]
 
-    The checkpoint belongs to one table: a table made anew is filled from all raw batches.
-    """
-    for name, (ddl, _, keys) in TABLES.items():
-        schema = StructType.fromDDL(ddl)
-        table = f"{database}.{name}"
-        blocks = ["order_block"] if name in BLOCKED else []
-        ensure_table(spark, table, f"{ddl}, order_block INT" if blocks else ddl, root, blocks)
 
-        def put(batch: DataFrame, _: int, table=table, keys=keys, blocks=blocks) -> None:
-            if batch.isEmpty():
-                return
-            if blocks:
-                block = F.floor(F.col("order_id") / ORDERS_PER_BLOCK).cast("int")
-                batch = batch.withColumn("order_block", block)
-            upsert_table(spark, table, batch, keys, ["batch_id", *POSITION], root, blocks)
+def new_batches(spark: SparkSession, release: Release, root: str, name: str) -> tuple[DataFrame, list[int]]:
+    """Raw rows of a kind and the numbers of the batches not taken in yet, the oldest ones first."""
+    raw = stored(spark, f"{root}/raw/{name}", StructType.fromDDL(TABLES[name][0]))
+    new = raw.filter(F.col("batch_id") > int(release.marks.get(name, -1))).select("batch_id").distinct()
+    return raw, [r[0] for r in new.orderBy("batch_id").limit(BATCHES).collect()]
 
-        seen = f"{root}/dds_checkpoints/{name}-{table_id(spark, table)}"
-        raw = spark.readStream.schema(stored_schema(schema)).parquet(f"{root}/raw/{name}")
-        query = raw.writeStream.foreachBatch(put).option("checkpointLocation", seen)
-        query.trigger(availableNow=True).start().awaitTermination()
 
+def raw_to_dds(
+    spark: SparkSession, release: Release, root: str, before_table: Callable[[str], None] | None = None
+) -> Release:
+    """Upserts the raw batches not taken in yet, so many at a time; the later place in the files wins.
 
-def dds_to_mart(spark: SparkSession, root: str, database: str) -> DataFrame:
-    """Recounts popularity and upserts it into the mart by product.
+    Each turn ends with a draft that holds all three tables or none. ``before_table`` is called with each
+    table's name before it is written; what it raises ends the run.
+    """
+    while True:
+        turn = release
+        for name, (_, _, keys) in TABLES.items():
+            raw, batches = new_batches(spark, release, root, name)
+            if before_table:
+                before_table(name)
+            if not batches:
+                continue
+            new = raw.filter(F.col("batch_id").isin(batches))
+            block = "order_block" if name in BLOCKED else None
+            if block:
+                new = new.withColumn(block, F.floor(F.col("order_id") / ORDERS_PER_BLOCK).cast("int"))
+            turn = turn.upserted(name, schema_of(name), new, keys, ["batch_id", *POSITION], block)
+            if "product_id" in keys:
+                turn = turn.appended(TOUCHED, new.select("product_id").distinct())
+            turn = turn.marked(**{name: batches[-1]})
+        if turn is release:
+            return release
+        release = turn.saved(final=False)
+
+
+def dds_to_mart(spark: SparkSession, release: Release) -> Release:
+    """Recounts the products that new rows touched; all others keep their row of the mart.
 
     The upsert key of the items makes (order, product) unique.
     """
-    mart = f"{database}.product_popularity"
-    ensure_table(spark, mart, MART, root)
-    items, products = spark.table(f"{database}.order_items"), spark.table(f"{database}.products")
-    counted = fitted(popularity(items, products, one_row_per_order=True), mart)
-    upsert_table(spark, mart, counted, ["product_id"], ["product_id"], root)
-    return spark.table(mart)
+    if TOUCHED not in release.places:
+        return release
+    touched = release.read(TOUCHED, "product_id INT").distinct()
+    items, products = (release.read(t, schema_of(t)).join(touched, "product_id", "left_semi") for t in ("order_items", "products"))
+    counted = popularity(items, products, one_row_per_order=True)
+    counted = counted.select(*[F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(MART).fields])
+    kept = release.read(MART_TABLE, MART).join(touched, "product_id", "left_anti")
+    return release.replaced(MART_TABLE, kept.unionByName(counted)).dropped(TOUCHED)
+
+
+def publish(spark: SparkSession, release: Release, root: str, database: str) -> Release:
+    """Puts a draft in force by one record, then points the catalog's tables at it; the latter is also done for tables
+    that were made anew and for a record whose run ended between the two."""
+    before = releases.current(spark, root)
+    if not release.final:
+        release = release.saved()
+    for table in (*TABLES, MART_TABLE):
+        name, block = f"{database}.{table}", "order_block" if table in BLOCKED else None
+        made = not spark.catalog.tableExists(name)
+        ensure_table(spark, name, schema_of(table), root, [block] if block else None)
+        if release.paths(table):
+            # a record in force says nothing of the catalog; only what this run changed is known to be behind
+            releases.follow(release, table, name, block, None if made or release.number == before.number else before)
+    return release
 
 
 def run(
-    spark: SparkSession, src: str | dict[str, str], root: str, database: str, archive: str | None = None
+    spark: SparkSession, src: str | dict[str, str], root: str, database: str, archive: str | None = None,
+    before_table: Callable[[str], None] | None = None,
 ) -> DataFrame:
     load_raw(spark, src, root, archive)
-    raw_to_dds(spark, root, database)
-    return dds_to_mart(spark, root, database)
+    release = raw_to_dds(spark, releases.draft(spark, root), root, before_table)
+    return mart(spark, publish(spark, dds_to_mart(spark, release), root, database))
+
+
+def mart(spark: SparkSession, of: Release | str) -> DataFrame:
+    """The mart of a record, or of the one in force under a root."""
+    release = releases.current(spark, of) if isinstance(of, str) else of
+    return release.read(MART_TABLE, MART)

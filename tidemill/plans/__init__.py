@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["shape", "aggregates", "joins", "storage", "quality", "streams"]
+MODULES = ["shape", "aggregates", "joins", "storage", "quality", "streams", "releases"]
 
 
 def all_queries():
