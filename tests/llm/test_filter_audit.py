@@ -43,12 +43,12 @@ def labelled(spark, rows):
     return spark.createDataFrame([(*r, "x") for r in rows], "doc_id BIGINT, quality INT, toxic INT, part STRING")
 
 
-@pytest.mark.parametrize("group_bytes", [32 << 20, 40])
-def test_by_brute_force(spark, group_bytes):
+@pytest.mark.parametrize("group_bytes, block_bytes", [(1 << 20, 32 << 20), (40, 3_000)])
+def test_by_brute_force(spark, group_bytes, block_bytes):
     rows = [(k, t, [None, "", "en", "de"][i % 4]) for i, (k, t) in enumerate(ROWS)]
     docs = documents(spark, rows)
     labels = [(2, 1, 0), (2, 0, 1), (6, 1, 1), (99, None, 1), (None, 1, 1), (11, 0, 0)]
-    got = A.audit(docs, labelled(spark, labels), part_col="source", group_bytes=group_bytes)
+    got = A.audit(docs, labelled(spark, labels), part_col="source", group_bytes=group_bytes, block_bytes=block_bytes)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, labels)
 
 

@@ -22,8 +22,10 @@ from tidemill.session import materialise
 
 FILTERS = "ABCDE"
 DUPLICATE = 1 << FILTERS.index("E")
-# Bytes of texts that one trie takes, and bytes of a prefix at first and how much longer the next one is.
-GROUP_BYTES = 32 << 20
+# Bytes of texts of a first trie, and about so many in a partition; below one prefix come fewer, so that a frequent
+# beginning of texts is dealt over partitions.
+BLOCK_BYTES, GROUP_BYTES = 32 << 20, 1 << 20
+# Bytes of a prefix at first, and how much longer the next one is.
 PREFIX, LONGER = 16, 4
 # Fixed values of the failure conditions.
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 3
@@ -190,7 +192,8 @@ def _flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def masks(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", group_bytes: int = GROUP_BYTES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", group_bytes: int = GROUP_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``doc_id, part, mask, n``: how many rows of an id fail just the filters of ``mask`` (bit 0 is A).
 
@@ -200,17 +203,17 @@ def masks(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(part_col), F.lit("")).alias("part"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    judged = materialise(rows.mapInArrow(_judge(group_bytes), f"{JUDGED}, text BINARY, open BOOLEAN"), "judged-texts")
+    judged = materialise(rows.mapInArrow(_judge(block_bytes), f"{JUDGED}, text BINARY, open BOOLEAN"), "judged-texts")
     texts = judged.where("open").drop("open")
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    ranged = prefix_keys(texts, group_bytes).repartitionByRange(max(1, -(-size // group_bytes)), "prefix").sortWithinPartitions("prefix")
+    ranged = prefix_keys(texts, group_bytes).repartitionByRange(max(1, -(-size // block_bytes)), "prefix").sortWithinPartitions("prefix")
     flagged = ranged.select("doc_id", "part", "mask", "n", "text", "prefix").mapInArrow(_flag, JUDGED)
     return judged.where("NOT open").select("doc_id", "part", "mask", "n").unionByName(flagged)
 
 
 def audit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
-    group_bytes: int = GROUP_BYTES,
+    group_bytes: int = GROUP_BYTES, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley`` for each part and
     each step of each of the 120 orders of the filters, zeros included.
@@ -218,7 +221,7 @@ def audit(
     An id that has several labels is good or toxic if any of them says so; one without a label is neither. Repeated
     rows count each. Parts are those of ``docs``; an empty table gives no rows. Texts are judged whole.
     """
-    failed = masks(docs, id_col, text_col, part_col, group_bytes).groupBy("doc_id", "part", "mask").agg(F.sum("n").alias("n"))
+    failed = masks(docs, id_col, text_col, part_col, group_bytes, block_bytes).groupBy("doc_id", "part", "mask").agg(F.sum("n").alias("n"))
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
         F.bool_or(F.col("quality") == 1).alias("good"), F.bool_or(F.col("toxic") == 1).alias("toxic")
     )
