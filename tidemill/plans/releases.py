@@ -9,7 +9,10 @@ from tidemill.operators import changes as C, quality as V, shape as P
 from tidemill.plans.aggregates import MONEY, as_double, half_up
 from tidemill.plans.registry import Tables, query
 from tidemill.plans.storage import UPDATES, database, updates
+from tidemill.plans.streams import READING, readings
 from tidemill.sources import releases as L
+from tidemill.sources.sinks import to_messages
+from tidemill.streaming import folding, messages as SM
 
 STATUS = "o_orderkey BIGINT, o_orderstatus STRING"
 PERSON = "c_custkey BIGINT, c_name STRING, c_nationkey INT"
@@ -135,3 +138,17 @@ def loads_behind_a_gate(t: Tables):
             continue
     lines = L.current(t.spark, release.root).read("lines", "l_orderkey BIGINT, l_quantity DOUBLE, l_returnflag STRING")
     return lines.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("R1 R2 E5", "SELECT event_id, user_id, value FROM events WHERE event_type <> 'error'")
+def folded_messages(t: Tables):
+    table, rejects = t.scratch("readings"), t.scratch("rejects")
+    topic = t.scratch("topic")
+    for half in (0, 1):  # a second run goes on after the batches that the first one folded
+        rows = readings(t).filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        to_messages(rows).repartition(7).write.mode("append").text(topic)
+        source = SM.message_source(t.spark, "text", topic, maxFilesPerTrigger=1)
+        SM.ingest_stream(source, READING, table, rejects, fold_every=3).awaitTermination()
+    folding.fold(t.spark, table, READING)
+    folding.drop_folded(t.spark, table)
+    return SM.stored_records(t.spark, table, READING)

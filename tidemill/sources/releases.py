@@ -108,9 +108,15 @@ class Release:
             return self._with(table, {"": (path,)}, keep=False)
         return self._with(table, {str(p): () for p in parts or ()} | self._by_part(path), keep=parts is not None)
 
-    def appended(self, table: str, df: DataFrame, gate: Gate | None = None) -> Release:
-        """Rows added to a table without parts."""
-        return self._with(table, {"": (*self.paths(table), self._written(table, df, gate=gate))})
+    def appended(self, table: str, df: DataFrame, gate: Gate | None = None, group: str = "") -> Release:
+        """Rows added to a table without parts; ``group`` names a set of its folders."""
+        held = self.places.get(table, {}).get(group, ())
+        return self._with(table, {group: (*held, self._written(table, df, gate=gate))})
+
+    def merged(self, table: str, schema: str, group: str, into: str) -> Release:
+        """The folders of a group written as one folder of another."""
+        release = self.appended(table, self.read(table, schema, [group]).hint("rebalance"), group=into)
+        return release._with(table, {group: ()})
 
     def upserted(
         self, table: str, schema: str, new: DataFrame, keys: list[str], order_by: list[str], part: str | None = None,

@@ -7,11 +7,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, StringType
 
 from tidemill.sources.sinks import to_messages
+from tidemill.streaming import folding
 
 CORRUPT = "_corrupt_record"
 # What one micro-batch takes unless told otherwise.
 MAX_OFFSETS = 5_000_000
 MAX_FILES = 1_000
+# Batches whose folders are folded together while a stream runs.
+FOLD_EVERY = 200
+REJECT = StructType([StructField("value", StringType()), StructField("problem", StringType())])
 
 
 def message_source(spark: SparkSession, source: str = "kafka", path: str | None = None, **options) -> DataFrame:
@@ -60,13 +64,14 @@ def split_bad(messages: DataFrame, schema: StructType) -> tuple[DataFrame, DataF
 
 def ingest_stream(
     messages: DataFrame, schema: StructType, table: str, rejects: str, checkpoint: str | None = None,
-    trigger: dict | None = None,
+    trigger: dict | None = None, fold_every: int | None = FOLD_EVERY,
 ) -> StreamingQuery:
     """Stores good records under ``table`` and bad messages under ``rejects`` (both paths).
 
     Every micro-batch has its own ``batch_id`` folder that a repeat replaces, so a batch that was
     cut off and run again leaves no second copy. The checkpoint lies with the table, because batch
-    numbers only make sense together with it.
+    numbers only make sense together with it. Every ``fold_every`` batches the finished folders are
+    folded into large files (see ``streaming.folding``), through which readers go.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -76,6 +81,9 @@ def ingest_stream(
             _bad(parsed).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
         finally:
             parsed.unpersist()
+        if fold_every and batch_id and batch_id % fold_every == 0:
+            for path, columns in ((table, schema), (rejects, REJECT)):
+                folding.fold(batch.sparkSession, path, columns)
 
     writer = messages.writeStream.foreachBatch(store)
     writer = writer.option("checkpointLocation", checkpoint or f"{table}/_checkpoint")
@@ -84,12 +92,12 @@ def ingest_stream(
 
 def stored_records(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
     """Good records stored by ``ingest_stream``."""
-    return spark.read.schema(schema).parquet(table).select(*schema.fieldNames())
+    return folding.read(spark, table, schema)
 
 
 def stored_rejects(spark: SparkSession, rejects: str) -> DataFrame:
     """Bad messages stored by ``ingest_stream``."""
-    return spark.read.schema("value string, problem string").parquet(rejects).select("value", "problem")
+    return folding.read(spark, rejects, REJECT)
 
 
 def append_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
