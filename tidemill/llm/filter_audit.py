@@ -22,9 +22,9 @@ from tidemill.session import materialise
 
 FILTERS = "ABCDE"
 DUPLICATE = 1 << FILTERS.index("E")
-# Bytes of texts of a first trie, and about so many in a partition; below one prefix come fewer, so that a frequent
-# beginning of texts is dealt over partitions.
-BLOCK_BYTES, GROUP_BYTES = 32 << 20, 1 << 20
+# Bytes of texts of a first trie, and about so many in a partition; below one prefix come fewer where that leaves at
+# most so many long prefixes, so that a frequent beginning of texts is dealt over partitions.
+BLOCK_BYTES, GROUP_BYTES, LONG_PREFIXES = 32 << 20, 1 << 20, 10_000
 # Bytes of a prefix at first, and how much longer the next one is.
 PREFIX, LONGER = 16, 4
 # Fixed values of the failure conditions.
@@ -206,6 +206,7 @@ def masks(
     judged = materialise(rows.mapInArrow(_judge(block_bytes), f"{JUDGED}, text BINARY, open BOOLEAN"), "judged-texts")
     texts = judged.where("open").drop("open")
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    group_bytes = max(group_bytes, min(block_bytes, size // LONG_PREFIXES))
     ranged = prefix_keys(texts, group_bytes).repartitionByRange(max(1, -(-size // block_bytes)), "prefix").sortWithinPartitions("prefix")
     flagged = ranged.select("doc_id", "part", "mask", "n", "text", "prefix").mapInArrow(_flag, JUDGED)
     return judged.where("NOT open").select("doc_id", "part", "mask", "n").unionByName(flagged)
