@@ -25,15 +25,19 @@ def delay_statistics(
     )
 
 
+def fill_shares(trips: DataFrame, tickets: DataFrame, id: str, columns: list[str] = ()) -> DataFrame:
+    """Every trip's ticket count in percent of the rounded mean count, a whole number, cut off."""
+    sold = tickets.groupBy(id).agg(F.count("*").alias("_sold")).join(trips.select(id, *columns), id)
+    mean = sold.agg(round_int(F.avg("_sold")).alias("_mean")).scalar()
+    return sold.select(id, *columns, whole_div(F.col("_sold") * 100, mean).alias("fill_percentage"))
+
+
 def fill_percentage(trips: DataFrame, tickets: DataFrame, id: str, percentage: int) -> DataFrame:
     """Trips whose ticket count is at least ``percentage`` percent of the rounded mean count.
 
     The share is a whole number, cut off, as integer division gives.
     """
-    sold = tickets.groupBy(id).agg(F.count("*").alias("_sold")).join(trips.select(id), id)
-    mean = sold.agg(round_int(F.avg("_sold")).alias("_mean")).scalar()
-    share = whole_div(F.col("_sold") * 100, mean)
-    return sold.select(id, share.alias("fill_percentage")).filter(F.col("fill_percentage") >= percentage)
+    return fill_shares(trips, tickets, id).filter(F.col("fill_percentage") >= percentage)
 
 
 def export_route(
@@ -52,7 +56,8 @@ def export_route(
     return table
 
 
-# The first table function as SQL, for sessions that prefer to call it by name.
+# The table functions as SQL, for sessions that prefer to call them by name. Their arguments are compared by equality
+# first, so a call with many of them, by LATERAL, is planned as one hash join.
 DELAY_FUNCTION = """
 CREATE OR REPLACE TEMPORARY FUNCTION {name}(code {code_type})
 RETURNS TABLE (trip_id BIGINT, departure_delay_sec BIGINT, arrival_delay_sec BIGINT)
@@ -61,8 +66,24 @@ RETURN SELECT t.{id},
               CAST(round(abs(timestampdiff(SECOND, t.{actual_end}, t.{planned_end}))) AS BIGINT)
        FROM {trips} t WHERE t.{place} = {name}.code
 """
+FILL_FUNCTION = """
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(code {code_type}, least BIGINT)
+RETURNS TABLE (trip_id BIGINT, fill_percentage BIGINT)
+RETURN SELECT s.{id}, s.fill_percentage FROM {shares} s WHERE s.{place} = {name}.code AND s.fill_percentage >= {name}.least
+"""
 
 
 def create_delay_function(spark, name: str, **columns: str) -> None:
     """Registers ``SELECT * FROM name(code)`` over a view or table of trips."""
     spark.sql(DELAY_FUNCTION.format(name=name, **columns))
+
+
+def create_fill_function(spark, name: str, **columns: str) -> None:
+    """Registers ``SELECT * FROM name(code, least)`` over a view or table of ``fill_shares`` with their place."""
+    spark.sql(FILL_FUNCTION.format(name=name, **columns))
+
+
+def for_each(arguments: DataFrame, name: str, *columns: str) -> DataFrame:
+    """A registered table function called with every row of ``arguments``, in one plan: their columns and the result's."""
+    given = ", ".join(f"a.`{c}`" for c in columns)
+    return arguments.sparkSession.sql(f"SELECT * FROM {{arguments}} a, LATERAL {name}({given})", arguments=arguments)

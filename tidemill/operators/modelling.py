@@ -84,8 +84,12 @@ def decompose(
     """Moves columns that depend on others to tables of their own.
 
     ``dependencies`` maps a table name to (determining, dependent) columns. The rest keeps the
-    determining columns; joining all tables gives the rows back.
+    determining columns; joining all tables gives the rows back. A dependency that does not hold is an
+    error, as the join would then make rows that were not there.
     """
+    for name, (left, right) in dependencies.items():
+        if not check_fd(df, left, right).isEmpty():
+            raise ValueError(f"{', '.join(left)} does not determine {', '.join(right)}, as table {name} needs")
     tables = {n: df.select(*left, *right).distinct() for n, (left, right) in dependencies.items()}
     moved = {c for _, right in dependencies.values() for c in right}
     return df.select(*[c for c in df.columns if c not in moved]).distinct(), tables

@@ -191,9 +191,18 @@ def stamp(df: DataFrame, load_ts, defaults: dict | None = None, name: str = "loa
     return df.withColumns({**filled, name: when})
 
 
-def dedup_rows(df: DataFrame) -> DataFrame:
-    """Each different row once; copies are merged before the shuffle."""
-    return df.dropDuplicates()
+def dedup_rows(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Each different row once; copies are merged before the shuffle.
+
+    For ``wide`` rows, such as whole texts, two hashes of the row are counted first. A row whose hashes occur once is
+    unlike all others and stays where it is; only the others cross the shuffle as they are.
+    """
+    if not wide:
+        return df.dropDuplicates()
+    hashes = df.withColumns({"_h1": F.xxhash64(*df.columns), "_h2": F.hash(*reversed(df.columns))})
+    often = hashes.groupBy("_h1", "_h2").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    alone = hashes.join(often, ["_h1", "_h2"], "left_anti").select(*df.columns)
+    return alone.unionByName(hashes.join(often, ["_h1", "_h2"], "left_semi").select(*df.columns).dropDuplicates())
 
 
 def last_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

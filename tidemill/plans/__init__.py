@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["shape", "aggregates", "joins", "storage", "quality", "streams", "releases"]
+MODULES = ["shape", "aggregates", "joins", "storage", "quality", "streams", "releases", "layouts"]
 
 
 def all_queries():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemill.functions import tables as U
@@ -209,6 +211,11 @@ DELAYS = f"""
     FROM {TRIPS} WHERE place = 7"""
 
 
+def fresh(name: str) -> str:
+    """A name that no view or function of the session has."""
+    return f"tidemill_{name}_{uuid.uuid4().hex[:12]}"
+
+
 def trips(t: Tables):
     """Shipments as trips: planned from the order date, actual from the ship date."""
     joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -226,14 +233,44 @@ def delay_statistics(t: Tables):
     )
 
 
-@query("U1", DELAYS)
-def delay_statistics_by_name(t: Tables):
-    trips(t).createOrReplaceTempView("tidemill_trips")
+def delay_function(t: Tables) -> str:
+    """Registers the function under a name of its own, as its view; both go with the session."""
+    view, name = fresh("trips"), fresh("trip_delays")
+    trips(t).createOrReplaceTempView(view)
     U.create_delay_function(
-        t.spark, "trip_delays", code_type="BIGINT", id="trip_id", trips="tidemill_trips", place="place",
+        t.spark, name, code_type="BIGINT", id="trip_id", trips=view, place="place",
         planned_start="planned_start", actual_start="actual_start", planned_end="planned_end", actual_end="actual_end",
     )
-    return t.spark.sql("SELECT * FROM trip_delays(7)")
+    return name
+
+
+@query("U1", DELAYS)
+def delay_statistics_by_name(t: Tables):
+    return t.spark.sql(f"SELECT * FROM {delay_function(t)}(7)")
+
+
+@query("U1", f"""
+    SELECT s_suppkey AS code, trip_id, CAST(abs(epoch_us(planned_start) - epoch_us(actual_start)) // 1000000 AS BIGINT) AS departure_delay_sec,
+           CAST(abs(epoch_us(planned_end) - epoch_us(actual_end)) // 1000000 AS BIGINT) AS arrival_delay_sec
+    FROM {TRIPS} JOIN supplier ON place = s_suppkey WHERE s_nationkey = 3""")
+def delays_of_many_places(t: Tables):
+    codes = t.supplier.filter("s_nationkey = 3").select(F.col("s_suppkey").alias("code"))
+    return U.for_each(codes, delay_function(t), "code")
+
+
+@query("U2", """
+    WITH sold AS (SELECT o_orderkey, o_orderpriority, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+    mean AS (SELECT CAST(round(avg(n)) AS BIGINT) AS m FROM sold),
+    a(code, least) AS (VALUES ('1-URGENT', 50), ('5-LOW', 120), ('5-LOW', 100), ('none', 0))
+    SELECT code, CAST(least AS BIGINT) AS least, o_orderkey AS trip_id, n * 100 // m AS fill_percentage
+    FROM a JOIN sold ON o_orderpriority = code, mean WHERE n * 100 // m >= least""")
+def fill_of_many_places(t: Tables):
+    tickets = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    view, name = fresh("shares"), fresh("fill_percentage")
+    U.fill_shares(t.orders, tickets, "o_orderkey", ["o_orderpriority"]).createOrReplaceTempView(view)
+    U.create_fill_function(t.spark, name, code_type="STRING", id="o_orderkey", place="o_orderpriority", shares=view)
+    arguments = t.spark.createDataFrame([("1-URGENT", 50), ("5-LOW", 120), ("5-LOW", 100), ("none", 0)], "code STRING, least BIGINT")
+    return U.for_each(arguments, name, "code", "least")
 
 
 @query("U2 J8 Q1 F14", """
@@ -269,6 +306,6 @@ def view_of_one_nation(t: Tables):
     located = t.bookings.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     on = F.col("c_nationkey") == F.col("n_nationkey")
     view = view_orders_from(
-        located, t.nation, on, F.col("n_name") == "NATION_5", ["o_orderkey", "n_name", "amount"], "orders_from_nation"
+        located, t.nation, on, F.col("n_name") == "NATION_5", ["o_orderkey", "n_name", "amount"], fresh("orders_from_nation")
     )
     return as_double(view, "amount")

@@ -146,9 +146,9 @@ def folded_messages(t: Tables):
     topic = t.scratch("topic")
     for half in (0, 1):  # a second run goes on after the batches that the first one folded
         rows = readings(t).filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
-        to_messages(rows).repartition(7).write.mode("append").text(topic)
+        to_messages(rows).repartition(3).write.mode("append").text(topic)
         source = SM.message_source(t.spark, "text", topic, maxFilesPerTrigger=1)
-        SM.ingest_stream(source, READING, table, rejects, fold_every=3).awaitTermination()
+        SM.ingest_stream(source, READING, table, rejects, fold_every=2).awaitTermination()
     folding.fold(t.spark, table, READING)
     folding.drop_folded(t.spark, table)
     return SM.stored_records(t.spark, table, READING)

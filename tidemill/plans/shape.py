@@ -196,7 +196,7 @@ def stamped_orders(t: Tables):
 @query("P19", """
     SELECT md5(text) AS text_hash, lang, source FROM (SELECT DISTINCT text, lang, source FROM documents)""")
 def distinct_documents(t: Tables):
-    once = P.dedup_rows(t.documents.select("text", "lang", "source"))
+    once = P.dedup_rows(t.documents.select("text", "lang", "source"), wide=True)
     return once.select(F.md5("text").alias("text_hash"), "lang", "source")
 
 

@@ -17,7 +17,7 @@ from tidemill.operators import shape as P
 from tidemill.plans.aggregates import AMOUNT, MONEY, as_double, half_up
 from tidemill.plans.registry import Tables, query
 from tidemill.plans.storage import ORDER, ORDER_COLUMNS, database
-from tidemill.sources.sinks import to_messages
+from tidemill.sources.sinks import append, ensure_table, to_messages
 from tidemill.streaming import files as SF, messages as SM
 
 READING = StructType().add("event_id", "long", False).add("user_id", "long", False).add("value", "double", False)
@@ -118,6 +118,20 @@ def synced_events(t: Tables):
     return SF.sync_new(t.events.select("event_id", "user_id", "ts"), known, "ts", ["event_id"], "1 day")
 
 
+@query("R6 S14 K2", """
+    SELECT event_id, user_id, ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events WHERE event_type <> 'error' OR ts >=
+        (SELECT max(ts) FROM events WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-20') - INTERVAL 1 DAY""")
+def events_synced_by_day(t: Tables):
+    name = f"{database()}.events"
+    ensure_table(t.spark, name, "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, day DATE", partition_by=["day"])
+    rows = t.events.select("event_id", "user_id", "ts")
+    before = P.before(t.events, "ts", "2024-01-20").filter(F.col("event_type") != "error").select(*rows.columns)
+    append(before.withColumn("day", F.to_date("ts")).hint("rebalance", "day"), name)
+    for _ in range(2):
+        SF.sync_by_day(rows, name, "ts", ["event_id"], "1 day")
+    return t.spark.table(name).withColumn("day", F.col("day").cast("string"))
+
+
 LAST_ITEMS = """(SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey
                                ORDER BY l_linenumber DESC, l_suppkey DESC, l_extendedprice DESC) = 1)"""

@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemill.operators.quality import Rule, errors_of, typed_cells
-from tidemill.streaming.messages import append_batches
+from tidemill.session import materialise
+from tidemill.sources.sinks import append
+from tidemill.streaming.messages import MAX_FILES, append_batches
 
 # Where a row stood: file, block within the file, and a number that rises within the block.
 POSITION = ["file_path", "file_block", "row_no"]
@@ -66,7 +68,7 @@ def ingest_checked_files(
     Cells are read as text, and the header as a row like others, so what is wrong is reported and
     does not stop the load. A file without the right header is not loaded; with ``whole_file`` nor is
     one with any bad or (if ``unique_rows``) repeated row. A header alone is reported as an empty
-    file unless ``reject_empty`` is off.
+    file unless ``reject_empty`` is off. A batch takes ``max_files`` at most, so a backlog comes in turns.
     ``dst`` and ``rejects`` are paths; batches are folders that a repeat replaces, and the
     checkpoint lies with ``dst``.
     """
@@ -102,6 +104,7 @@ def ingest_checked_files(
         finally:
             lines.unpersist()
 
+    options = {"max_files": MAX_FILES, **options}
     stream = new_files(spark, src, as_text(schema), header=False, columnNameOfCorruptRecord=BROKEN, **options)
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{dst}/_checkpoint")
     return writer.trigger(availableNow=True).start()
@@ -110,17 +113,16 @@ def ingest_checked_files(
 def reject_zero_length(
     spark: SparkSession, src: str, rejects: str, schema: StructType, glob: str | None = None
 ) -> None:
-    """Records files of no bytes at all, which Spark's readers pass over. Only the listing is read; those
-    recorded before are left out."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{src.rstrip('/')}/{glob or '*'}")
-    listing = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    paths = [(f.getPath().toString(),) for f in listing if f.isFile() and f.getLen() == 0]
-    found = spark.createDataFrame(paths, "file_path STRING").select(
-        *[F.lit(None).cast("string").alias(n) for n in schema.fieldNames()], "file_path", F.array(F.lit(EMPTY)).alias("errors"),
+    """Records files of no bytes at all, which the row readers pass over. Only paths and lengths are read, by Spark's
+    own listing; those recorded before are left out."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*").load(src)
+    found = listing.filter("length = 0").select(
+        *[F.lit(None).cast("string").alias(n) for n in schema.fieldNames()], F.col("path").alias("file_path"), F.array(F.lit(EMPTY)).alias("errors"),
     )
     known = spark.read.schema("file_path string").parquet(rejects)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731 - listings and rows spell it differently
     new = found.join(known.select(plain("file_path").alias("_known")).distinct(), plain("file_path") == F.col("_known"), "left_anti")
+    new = materialise(new, "zero-length")
     if not new.isEmpty():
         new.write.mode("append").parquet(f"{rejects}/batch_id=-1")
 
@@ -144,9 +146,34 @@ def sync_new(source: DataFrame, target: DataFrame, ts: str, keys: list[str], loo
     """Source rows the target lacks, from the target's latest time less ``look_back`` on.
 
     The mark comes from the target, not from the clock, so nothing is missed after a pause; rows
-    read twice because of the look-back drop out by key.
+    read twice because of the look-back drop out by key. A row keeps its time, so only the target's
+    part from the mark on is compared; both sides push the mark to their scan.
     """
     first = F.lit("0001-01-01").cast(target.schema[ts].dataType)
     mark = target.agg(F.coalesce(F.max(ts) - F.expr(f"INTERVAL {look_back}"), first)).scalar()
-    recent = source.filter(F.col(ts) >= mark)
-    return recent.join(target.select(*keys), keys, "left_anti")
+    recent, known = (rows.filter(F.col(ts) >= mark) for rows in (source, target))
+    return recent.join(known.select(*keys), keys, "left_anti")
+
+
+def sync_by_day(
+    source: DataFrame, table: str, ts: str, keys: list[str], look_back: str = "5 minutes", day: str = "day"
+) -> DataFrame:
+    """``sync_new`` into a catalog table that is partitioned by the ``day`` of the time: appends the new rows and returns
+    them.
+
+    The mark is looked for in the table's last day, and rows are compared with the days from the
+    mark's on: all other partitions are pruned, however long the table. A row that comes later than the
+    look-back allows is not taken.
+    """
+    spark = source.sparkSession
+    target = spark.table(table)
+    last_day = target.agg(F.max(day).alias("d")).first()["d"]  # from the list of partitions
+    newest = None if last_day is None else target.filter(F.col(day) == F.lit(last_day)).agg((F.max(ts) - F.expr(f"INTERVAL {look_back}")).alias("t")).first()["t"]
+    rows = source
+    if newest is not None:
+        mark = F.lit(newest).cast(target.schema[ts].dataType)
+        known = target.filter((F.col(day) >= F.to_date(mark)) & (F.col(ts) >= mark))
+        rows = source.filter(F.col(ts) >= mark).join(known.select(*keys), keys, "left_anti")
+    new = materialise(rows.withColumn(day, F.to_date(ts)), "synced")  # appended and returned alike
+    append(new.hint("rebalance", day), table)
+    return new.select(*source.columns)
