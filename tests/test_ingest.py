@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemill.jobs import customer_totals, object_store_load, popularity_mart, sensor_stream
+from tidemill.jobs import customer_totals, normalised_layer, object_store_load, popularity_mart, sensor_stream
 from tidemill.session import shared_dir
 from tidemill.sources import files as R, sinks as K
 from tidemill.streaming import files as SF, messages as SM
@@ -221,3 +221,25 @@ def test_jobs_by_command_line(spark, tmp_path):
     for _ in range(2):
         found = run(spark, arguments().parse_args(args)).collect()
         assert [(r["transaction_id"], r["customer_name"], r["amount"]) for r in found] == [("t2", "Ann", 0.0)]
+
+
+def test_layer_takes_new_raw_rows_only(spark, tmp_path, monkeypatch):
+    src, root = tmp_path / "in", str(tmp_path / "out")
+    users = "user_id,name,surname,age,email,phone,card_number\n"
+    orders = "order_id,product,quantity,price_per_unit,total_price,card_number,user_id\n"
+    write(src / "users_1.csv", users + "u1,A,B,30,e,p,c1\nu2,A,B,,e,p,c2\n")
+    write(src / "users_2.csv", "name,user_id\nA,u9\n")  # put aside; the others go on
+    write(src / "orders_1.csv", orders + "1,pen,1,1.00,1.00,c1,u1\n")
+    write(src / "deliveries_1.csv", ",".join(f.split()[0] for f in normalised_layer.RAW["deliveries"][0].split(", ")) + "\n")
+    seen = []
+    keep = normalised_layer.load_orders
+    monkeypatch.setattr(normalised_layer, "load_orders", lambda s, rows, d: seen.append(rows.count()) or keep(s, rows, d))
+    assert normalised_layer.run_files(spark, str(src), root, "layer_by_batch").count() == 1
+    write(src / "orders_2.csv", orders + "2,pen,1,1.00,1.00,c1,u1\n3,ink,x,1.00,1.00,c1,u1\n")
+    write(src / "users_3.csv", users + "u3,A,B,,e,p,c3\n")
+    for _ in range(2):
+        found = normalised_layer.run_files(spark, str(src), root, "layer_by_batch").collect()
+    assert sorted((r["order_id"], r["product_id"]) for r in found) == [(1, 1), (2, 1)] and seen == [1, 1]
+    assert sorted(r["user_id"] for r in spark.table("layer_by_batch.rejected_users").collect()) == ["u2", "u3"]
+    assert [r["order_id"] for r in spark.read.parquet(f"{root}/rejects/orders").collect()] == ["3"]
+    assert {os.path.basename(r["file_path"]) for r in spark.read.parquet(f"{root}/rejects/users").collect()} == {"users_2.csv"}

@@ -8,8 +8,9 @@ from pyspark.sql.types import StructType
 from tidemill.operators.changes import new_rows
 from tidemill.operators.modelling import Dimension, new_members, split_entities, with_key
 from tidemill.operators.quality import rules_for, split_valid
-from tidemill.sources.sinks import append, ensure_table, fitted, overwrite
-from tidemill.streaming.files import ingest_new_files
+from tidemill.sources.sinks import append, ensure_table, fitted, overwrite, table_id
+from tidemill.streaming.files import ingest_checked_files, stored_schema
+from tidemill.streaming.messages import MAX_FILES
 
 # Table columns, in the order in which references allow them to be made.
 TABLES = {
@@ -54,32 +55,51 @@ RAW = {
 }
 
 
-def land_files(
-    spark: SparkSession, src: str | dict[str, str], root: str, archive: str | None = None
-) -> dict[str, DataFrame]:
-    """Takes new raw files from ``src``, each once, to ``root/raw``; returns all raw rows so far by kind.
+def land_files(spark: SparkSession, src: str | dict[str, str], root: str, archive: str | None = None) -> None:
+    """Takes new raw files from ``src``, each once, to ``root/raw``; lines that do not fit the columns, and files
+    with another header, to ``root/rejects``, without stopping the others.
 
     ``src`` is one folder whose file names tell the kind, or a folder for each kind. Files that were
-    read move to ``archive`` when it is given. A file with another header stops its load.
+    read move to ``archive`` when it is given.
     """
     running = []
     for name, (ddl, pattern) in RAW.items():
-        schema, (folder, glob) = StructType.fromDDL(ddl), (src, pattern) if isinstance(src, str) else (src[name], "*.csv")
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/raw/{name}")
-        running.append(ingest_new_files(
-            spark, folder, f"{root}/raw/{name}", f"{root}/raw_checkpoints/{name}", schema, glob=glob, archive=archive
+        folder, glob = (src, pattern) if isinstance(src, str) else (src[name], "*.csv")
+        running.append(ingest_checked_files(
+            spark, folder, f"{root}/raw/{name}", f"{root}/rejects/{name}", StructType.fromDDL(ddl), [], glob=glob,
+            archive=archive, whole_file=False, unique_rows=False, reject_empty=False, required=False,
         ))
     for query in running:
         query.awaitTermination()
-    return {name: spark.read.schema(ddl).parquet(f"{root}/raw/{name}") for name, (ddl, _) in RAW.items()}
 
 
 def run_files(
     spark: SparkSession, src: str | dict[str, str], root: str, database: str, archive: str | None = None
 ) -> DataFrame:
-    """Lands new files and extends the layer from all raw rows; returns the orders table."""
-    raw = land_files(spark, src, root, archive)
-    return run(spark, raw["users"], raw["orders"], root, database, raw["deliveries"])
+    """Lands new files and extends the layer by the raw rows it has not seen; returns the orders table.
+
+    Each kind follows its raw folder as a stream, so many files at a time, whatever has landed before. What is known
+    already is not added, so a batch that was cut off can be repeated. A layer made anew begins with the first rows.
+    """
+    land_files(spark, src, root, archive)
+    ensure_tables(spark, root, database)
+    steps = {
+        "users": lambda own, rows: load_users(own, rows, database, root, replace_rejects=False),
+        "orders": lambda own, rows: load_orders(own, rows, database),
+        "deliveries": lambda own, rows: load_deliveries(own, rows, database),
+    }
+    for name, load in steps.items():
+        def put(batch: DataFrame, _: int, load=load, columns=StructType.fromDDL(RAW[name][0]).fieldNames()) -> None:
+            if not batch.isEmpty():
+                load(batch.sparkSession, batch.select(*columns))
+
+        raw = spark.readStream.schema(stored_schema(StructType.fromDDL(RAW[name][0]))).option("maxFilesPerTrigger", MAX_FILES)
+        writer = raw.parquet(f"{root}/raw/{name}").writeStream.foreachBatch(put)
+        seen = f"{root}/layer_checkpoints/{name}-{table_id(spark, f'{database}.{name}')}"
+        writer.option("checkpointLocation", seen).trigger(availableNow=True).start().awaitTermination()
+    for name in TABLES | REJECTS:  # micro-batches have a session of their own, which alone knows of the new files
+        spark.catalog.refreshTable(f"{database}.{name}")
+    return spark.table(f"{database}.orders")
 
 
 def ensure_tables(spark: SparkSession, root: str, database: str) -> None:
@@ -87,8 +107,11 @@ def ensure_tables(spark: SparkSession, root: str, database: str) -> None:
         ensure_table(spark, f"{database}.{name}", schema, root)
 
 
-def load_users(spark: SparkSession, raw: DataFrame, database: str, root: str | None = None) -> None:
-    """Valid users and cards not known yet; the rows that failed replace the tables of rejects."""
+def load_users(
+    spark: SparkSession, raw: DataFrame, database: str, root: str | None = None, replace_rejects: bool = True
+) -> None:
+    """Valid users and cards not known yet; the rows that failed replace the tables of rejects, or are added to
+    them where ``raw`` holds new rows only."""
     user_columns = ["user_id", "name", "surname", "age", "email", "phone"]
     parts = split_entities(raw, {"users": user_columns, "cards": ["card_number", "user_id"]})
     users, bad = split_valid(parts["users"], rules_for("users"))
@@ -97,8 +120,11 @@ def load_users(spark: SparkSession, raw: DataFrame, database: str, root: str | N
         table = f"{database}.{name}"
         append(new_rows(spark.table(table), fitted(rows, table), [key]), table)
     for name, rows in (("rejected_users", bad), ("rejected_cards", bad_cards)):
-        noted = rows.withColumn("errors", F.array_join("errors", "; "))
-        overwrite(noted, f"{database}.{name}", root)
+        table, noted = f"{database}.{name}", rows.withColumn("errors", F.array_join("errors", "; "))
+        if replace_rejects:
+            overwrite(noted, table, root)
+        else:
+            append(new_rows(spark.table(table), fitted(noted, table), noted.columns), table)
 
 
 def add_members(spark: SparkSession, raw: DataFrame, table: str, columns: dict[str, str], key: str) -> Dimension:

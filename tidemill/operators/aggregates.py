@@ -183,21 +183,27 @@ def popularity(
 ) -> DataFrame:
     """Units, revenue, orders and mean price of every product that was sold.
 
-    Items are summed by product before names are joined, so the join sees one row per product.
-    Orders are counted apart: only (product, order) pairs need a shuffle of their own, and the sums
-    do not travel with them. ``one_row_per_order`` says that an order names a product once; then
-    even that is not needed.
+    Items are summed by product before names are joined, so the join sees one row per product. An
+    order counts once for a product, so they are first summed by (product, order): the one shuffle of
+    many rows, which the count of orders needs anyway. ``one_row_per_order`` says that an order names
+    a product once; then even that is not needed.
     """
     qty, cost = F.col(quantity), F.col(price)
-    sold = items.groupBy(product).agg(
-        F.sum(qty).cast("long").alias("total_quantity_sold"),
-        F.sum(qty * cost).cast("decimal(24,2)").alias("total_revenue"),
-        F.count(order).alias("order_count"),
-        F.round(F.sum(cost) / F.count(cost), 2).cast("decimal(18,2)").alias("avg_price"),
-    )
+    sums = {
+        "_qty": F.sum(qty).cast("long"), "_revenue": F.sum(qty * cost).cast("decimal(24,2)"),
+        "_cost": F.sum(cost).cast("decimal(24,2)"), "_prices": F.count(cost),
+    }
+    keys = [product] if one_row_per_order else [product, order]
+    sold = items.groupBy(*keys).agg(*[s.alias(n) for n, s in sums.items()], F.count(order).alias("_orders"))
     if not one_row_per_order:
-        orders = items.groupBy(product).agg(F.count_distinct(order).alias("order_count"))
-        sold = sold.drop("order_count").join(orders, product)
+        sold = sold.groupBy(product).agg(
+            F.sum("_qty").alias("_qty"), F.sum("_revenue").cast("decimal(24,2)").alias("_revenue"),
+            F.sum("_cost").cast("decimal(24,2)").alias("_cost"), F.sum("_prices").alias("_prices"), F.count(order).alias("_orders"),
+        )
+    sold = sold.select(
+        product, F.col("_qty").alias("total_quantity_sold"), F.col("_revenue").alias("total_revenue"),
+        F.col("_orders").alias("order_count"), F.round(F.col("_cost") / F.col("_prices"), 2).cast("decimal(18,2)").alias("avg_price"),
+    )
     columns = ["total_quantity_sold", "total_revenue", "order_count", "avg_price"]
     return products.select(product, name).join(sold, product).select(product, name, *columns)
 

@@ -61,26 +61,29 @@ def as_text(schema: StructType) -> StructType:
 
 def ingest_checked_files(
     spark: SparkSession, src: str, dst: str, rejects: str, schema: StructType, rules: list[Rule],
-    whole_file: bool = True, unique_rows: bool = True, reject_empty: bool = True, **options,
+    whole_file: bool = True, unique_rows: bool = True, reject_empty: bool = True, required: bool = True, **options,
 ) -> StreamingQuery:
     """Takes new files whose rows keep the rules; bad rows go to ``rejects`` with their messages.
 
     Cells are read as text, and the header as a row like others, so what is wrong is reported and
     does not stop the load. A file without the right header is not loaded; with ``whole_file`` nor is
     one with any bad or (if ``unique_rows``) repeated row. A header alone is reported as an empty
-    file unless ``reject_empty`` is off. A batch takes ``max_files`` at most, so a backlog comes in turns.
+    file unless ``reject_empty`` is off. Empty cells are errors unless ``required`` is off. A batch takes ``max_files`` at most, so a backlog comes in turns.
     ``dst`` and ``rejects`` are paths; batches are folders that a repeat replaces, and the
     checkpoint lies with ``dst``.
     """
     names = schema.fieldNames()
-    required = [Rule(f"{n} is empty", F.col(n).isNotNull()) for n in names]
+    filled = [Rule(f"{n} is empty", F.col(n).isNotNull()) for n in names] if required else []
+    cells = typed_cells(schema)
+    if not required:
+        cells = [Rule(r.message, F.col(n).isNull() | r.holds) for n, r in zip(names, cells)]
     whole = Rule(f"the line does not have {len(names)} cells", F.col(BROKEN).isNull())
     is_header = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.lit(n)) for n in names))
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("row_no", F.monotonically_increasing_id()).withColumn("header", is_header)
-        lines = numbered.withColumn("errors", errors_of([whole, *required, *rules, *typed_cells(schema)])).persist()
+        lines = numbered.withColumn("errors", errors_of([whole, *filled, *rules, *cells])).persist()
         files = lines.groupBy("file_path").agg(F.max("header").alias("known"), F.count_if(~F.col("header")).alias("n"))
         headless = files.filter("NOT known").select("file_path", F.lit(True).alias("headless"))
         empty = files.filter("n = 0").select(
