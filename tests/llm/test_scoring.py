@@ -63,14 +63,97 @@ def test_nothing_to_learn_from(spark):
     assert scores(spark, []).count() == 0
 
 
-@pytest.mark.parametrize("text", ["", "a", "a b a", "x " * 2000])
-def test_lines_and_contexts(text):
-    symbols = L.Symbols((b"a",))
-    line, starts = symbols.line([L.words(text), L.words(text)])
-    assert len(line) == 2 * (len(L.words(text)) + L.DEPTH + 1) and starts[0] == 0
-    codes = L.contexts(line)
-    for i in range(2, min(len(line), 40)):
-        assert codes[i] == line[i - 1] | line[i - 2] << L.BITS
+def plain_words(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+
+
+@pytest.mark.parametrize("pad", [0, 1, 2])
+def test_lines_and_contexts(pad):
+    texts = ["", "a", "a b a", "x " * 2000, None, "É\u00a0é \x0b\x1fA", " lead", "trail \n", "ab AB ba"]
+    line = L.Line.of([(t or "").encode() for t in texts], pad)
+    assert list(line.starts) == [sum(len(plain_words(t)) + pad + 1 for t in texts[:i]) for i in range(len(texts))]
+    name = {}
+    flat = [w for t in texts for w in [None] * pad + plain_words(t) + [None]]
+    for h, w in zip(line.h.tolist(), flat, strict=True):
+        assert name.setdefault(h, w) == w and (h == int(L.END)) == (w is None)
+    assert len(name) == len(set(flat))
+    assert [t for t, w in zip(line.tail.tolist(), flat) if w] == [w[-1] << 8 | (w[-2] if len(w) > 1 else 0) for w in flat if w]
+    symbols = L.Symbols((int(line.h[flat.index(b"a")]),)).of(line.h, line.tail)
+    assert all((s == 0) == (w is None) and (s == 1) == (w == b"a") for s, w in zip(symbols, flat))
+    codes = L.contexts(symbols)
+    for i in range(2, min(len(flat), 40)):
+        assert codes[i] == symbols[i - 1] | symbols[i - 2] << L.BITS
+
+
+def test_hashes_tell_words_apart():
+    words = [f"{a}{b}{'x' * (a % 3)}".encode() for a in range(300) for b in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    words += [b"a" * n for n in range(1, 300)] + [bytes([c]) for c in range(33, 65)]
+    again = L.Line.of([b" ".join(reversed(words))], 0).h[:-1][::-1]
+    h = L.Line.of([b"  " + b"\t".join(words)], 0).h[:-1]
+    assert (h == again).all() and len(set(h.tolist())) == len(set(w.lower() for w in words))
+
+
+def plain_tree(sequences, least, bits, tokens, longest, root):
+    """Contexts that pass the test, by counting every one: state -> (total, kinds, counts after it)."""
+    after = {}
+    for seq, first in sequences:
+        for i in range(first, len(seq)):
+            for d in range(longest + 1):
+                if i - d >= 0:
+                    after.setdefault(tuple(seq[i - d : i]), Counter())[seq[i]] += 1
+    cost, kept = bits * 0.5 * math.log(max(tokens, 2)), {}
+    for ctx, n in after.items():
+        if ctx and n.total() >= least and all(after[ctx[j:]].total() >= least for j in range(1, len(ctx))):
+            shorter = root if len(ctx) == 1 and root else after[ctx[1:]]
+            gain = sum(c * math.log(c / n.total() / (shorter[w] / shorter.total())) for w, c in n.items())
+            if gain > len(n) * cost:
+                kept[ctx] = n
+    return after, kept
+
+
+@pytest.mark.parametrize("longest", [1, 3])
+def test_scores_by_brute_force(spark, longest):
+    rows = [(i, " ".join(prose(i, 60, 25)) + " a passage that all of them share word by word " + " ".join(prose(i + 500, 9, 40))) for i in range(60)]
+    rows += [(70, None), (71, "never seen words"), (72, "a passage that")]
+    docs = documents(spark, rows)
+    least, bits = 8, 0.5
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    model = L.fit(docs, keep=fold(F.col("doc_id"), 7) != 2, longest=longest, least=least, bits=bits)
+    counts = Counter(w for t in train for w in plain_words(t) + [None])
+    n, v = counts.total(), len(counts)
+    h = lambda w: L.END if w is None else L.Line.of([w], 0).h[0]
+    own, tail = L.Symbols(model.tree.own), lambda w: 0 if w is None else w[-1] << 8 | (w[-2] if len(w) > 1 else 0)
+    sym = {w: int(own.of(np.array([h(w)]), np.array([tail(w)]))[0]) for t in [*train, *(r[1] for r in rows)] for w in plain_words(t) + [None]}
+    mass = np.ones(L.SYMBOLS)
+    for w, c in counts.items():
+        mass[sym[w]] += c + 1
+    lines = [[None, None, *plain_words(t), None] for t in train]
+    after, kept = plain_tree([([sym[w] for w in line], 2) for line in lines], least, bits, n, 2, None)
+    kept = {c[j:]: after[c[j:]] for c in kept for j in range(len(c))}
+    _, word_kept = plain_tree([(line[1:], 1) for line in lines], least, bits, n, longest, counts)
+
+    def score(text):
+        line, total = [None, None, *plain_words(text), None], 0.0
+        for i in range(2, len(line)):
+            s, p = sym[line[i]], mass[sym[line[i]]] / mass.sum()
+            for d in (1, 2):
+                state = kept.get(tuple(sym[w] for w in line[i - d : i]))
+                if state is None:
+                    break
+                p = (state[s] + len(state) * p) / (state.total() + len(state))
+            p *= (counts[line[i]] + 1) / mass[s]
+            for d in range(1, min(longest, i - 1) + 1):
+                state = word_kept.get(tuple(line[i - d : i]))
+                if state is not None:
+                    p = (state[line[i]] + len(state) * p) / (state.total() + len(state))
+            total += math.log10(p)
+        return total
+
+    assert len(word_kept) >= 10 and kept
+    got = {r["doc_id"]: r for r in L.score(docs, model, F.lit(False)).collect()}
+    for i, text in rows:
+        assert got[i]["score"] == pytest.approx(score(text), rel=1e-5)
+        assert got[i]["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in plain_words(text) + [None]))
 
 
 def test_rare_words_and_long_contexts_are_kept(spark):
@@ -96,11 +179,21 @@ def test_no_limit_on_states(spark):
 
 
 def test_word_contexts_leave_distributions():
-    texts, memo = [[b"a", b"b"]], L.WordHashes()
-    h = memo.of([b"\n", b"a", b"b"])
-    a = L._joined(np.zeros(1, np.uint64), h[1:2])
-    keys = np.concatenate([a, L._pair(a, h[2:3])])
+    line = L.Line.of([b"a b"], 1)
+    a = L._joined(np.zeros(1, np.uint64), line.h[1:2])
+    keys = np.concatenate([a, L._pair(a, line.h[2:3])])
     order = np.argsort(keys)
-    known = keys[order], np.array([10, 6])[order], np.array([3, 0])[order]
-    got = 10 ** L.word_scores(texts, np.log10(np.array([0.5, 0.2, 0.1])), known, [(np.zeros(1 << L._SLOT_BITS, np.uint64),) * 2], memo)
+    known = L.Known(keys[order], np.array([10, 6])[order], np.array([3, 0])[order])
+    got = 10 ** L.word_scores(line, 1, np.log10(np.array([0.5, 0.2, 0.1])), known, [(np.zeros(16, np.uint64),) * 2])
     assert got == pytest.approx([0.5, (6 + 3 * 0.2) / 13, 0.1])
+
+
+def test_passes_do_not_grow_with_a_passage(spark, monkeypatch):
+    passage = " ".join(f"p{j}q" for j in range(300))
+    rows = [(i, f"{passage} " + " ".join(f"e{(i * k) % 97}x" for k in range(1, 6))) for i in range(50)]
+    passes = []
+    keep = L._context_counts
+    monkeypatch.setattr(L, "_context_counts", lambda *a: passes.append(1) or keep(*a))
+    model = L.fit(documents(spark, rows))
+    assert len(passes) <= L.LONGEST and len(model.filters) <= L.LONGEST
+    assert sum(m.nbytes for f in model.filters for m in f) < 1 << 20

@@ -6,64 +6,116 @@ symbol shorter; each kept distribution is smoothed by the shorter one's, and a s
 state of the longest kept suffix before it. Within its symbol a word has its share of the counts plus
 one, so the root of the tree alone is the add-one model of single words.
 
-Below that lies a tree over whole words, kept as a table: contexts of any word and any length with the
-counts of the words after them. It grows a word at a time until no longer context can pass the test. Contexts and pairs of context and next word go by 64-bit hashes.
+Below that lies a tree over whole words, kept as a table: contexts of any words, up to ``longest`` of them as
+the tree's order, with the counts of the words after them; each that passes the test is kept. Words go by
+64-bit hashes of their bytes, made for a whole batch of texts at once, and so do contexts and pairs of
+context and next word.
 """
 
 from __future__ import annotations
 
 import uuid
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.llm.common import text_bytes
-from tidemill.llm.shingles import WordHashes
 from tidemill.session import materialise
 
 DEPTH = 2
 BITS = 8  # of a symbol
 SYMBOLS = 1 << BITS
 OWN = 128  # words with a symbol of their own, the most frequent
+LONGEST = 3  # words in the longest context: the order of the tree
 BLOCK_BYTES = 8 << 20  # texts scored together by one task
-END_WORD = b"\n"  # stands for the end of a text; no word can hold it
-_SLOT_BITS = 19  # 64 marks in each slot of a filter; full filters let more rows through to the joins
+CHUNK_BYTES = 2 << 20  # texts hashed together
+_SLOT_BITS = 19  # 64 marks in each slot of the largest filter; full filters let more rows through to the joins
+END = np.uint64(1)  # stands for the end of a text
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x2545F4914F6CDD1D
+# White space of the contract, and A-Z in lower case.
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps)
+    return _POWERS
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words in UTF-8, A-Z lower-cased. ``bytes.split`` parts at x20 and x09-x0D, as the contract does."""
-    return (text or "").encode("utf-8", "replace").lower().split()
-
-
-class Symbols(dict):
-    """Symbol by word: 0 for the end, then the own ones, then by a hash of the last two bytes."""
-
-    def __init__(self, own: tuple[bytes, ...]):
-        super().__init__({END_WORD: 0} | {w: i for i, w in enumerate(own, 1)})
-        self._own, self._first = own, len(own) + 1
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.__init__(self._own)
-        self[word] = found = self._first + zlib.crc32(word[-2:]) % (SYMBOLS - self._first)
-        return found
-
-    def line(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts as one run of symbols, each with ends before it and one after, and where each begins."""
-        flat, starts, get = [], [], self.__getitem__
-        for text in texts:
-            starts.append(len(flat))
-            flat.extend([0] * DEPTH)
-            flat.extend(map(get, text))
-            flat.append(0)
-        return np.array(flat, np.int64), np.array(starts, np.int64)
+@dataclass(frozen=True)
+class Line:
+    """The words of several texts in a row, each text with ends before it and one after: hashes, for each how many words
+    or ends of its text are before it, a number made of its last two bytes, and where texts begin."""
+
+    h: np.ndarray
+    before: np.ndarray
+    tail: np.ndarray
+    starts: np.ndarray
+
+    @staticmethod
+    def of(texts: list[bytes], pad: int = 1) -> Line:
+        raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        lower, space = _LOWER[raw], _SPACE[raw]
+        word = ~space
+        first = np.flatnonzero(word & np.r_[True, space[:-1]]) if len(raw) else np.zeros(0, np.int64)
+        last = np.flatnonzero(word & np.r_[space[1:], True]) if len(raw) else first
+        up, down = _powers(len(raw))
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+        h = (sums[last + 1] - sums[first]) * down[first] + (last - first).astype(np.uint64)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = np.maximum(h ^ (h >> np.uint64(32)), np.uint64(2))
+        tail = lower[last].astype(np.int64) << 8 | np.where(last > first, lower[np.maximum(last - 1, 0)], 0)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        done = np.searchsorted(first, ends)  # words up to the end of each text
+        n = np.diff(np.r_[0, done])
+        sizes = n + pad + 1
+        starts = np.cumsum(sizes) - sizes
+        flat, tails = np.full(sizes.sum(), END, np.uint64), np.zeros(sizes.sum(), np.int64)
+        place = np.arange(len(first)) + np.repeat((pad + 1) * np.arange(1, len(texts) + 1) - 1, n)
+        flat[place], tails[place] = h, tail
+        return Line(flat, np.arange(len(flat)) - np.repeat(starts, sizes), tails, starts)
+
+
+def lines(column: pa.Array | pa.ChunkedArray, pad: int = 1) -> Iterator[Line]:
+    """A column of texts in chunks of bounded size, or of one long text; nulls are empty."""
+    held, size = [], 0
+    for text in column.cast(pa.binary()):
+        held.append(text.as_py() or b"")
+        size += len(held[-1])
+        if size > CHUNK_BYTES or len(held) >= 10_000:
+            yield Line.of(held, pad)
+            held, size = [], 0
+    if held:
+        yield Line.of(held, pad)
+
+
+class Symbols:
+    """Symbol by word: 0 for the end, then the own ones, then by the last two bytes."""
+
+    def __init__(self, own: tuple[int, ...]):
+        self._own = np.sort(np.array(own, np.uint64))
+        self._first = len(own) + 1
+
+    def of(self, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        found = self._first + (tail * 40503 >> 3) % (SYMBOLS - self._first)
+        if len(self._own):
+            at = np.minimum(np.searchsorted(self._own, h), len(self._own) - 1)
+            found = np.where(self._own[at] == h, at + 1, found)
+        return np.where(h == END, 0, found)
 
 
 def contexts(symbols: np.ndarray) -> np.ndarray:
@@ -74,68 +126,63 @@ def contexts(symbols: np.ndarray) -> np.ndarray:
     return code
 
 
-def _paddings(starts: np.ndarray) -> np.ndarray:
-    return (starts[:, None] + np.arange(DEPTH)).ravel()
+class Sums:
+    """Counts by key, sent on when there are too many to hold; what belongs to a key comes with it."""
 
+    def __init__(self, names: list[str], most: int = 2_000_000):
+        self._names, self._most, self._parts, self._size = names, most, [], 0
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: Counter = Counter()
+    def add(self, n: np.ndarray, key: np.ndarray, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self._parts.append((key, *more, n))
+        self._size += len(key)
+        if self._size > self._most:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self._parts:
+            key, *more, n = (np.concatenate(c) for c in zip(*self._parts))
+            self._parts, self._size = [], 0
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]]) if len(key) else order
+            at = order[first]
+            sums = np.add.reduceat(n[order], first) if len(first) else n
+            arrays = [pa.array(c[at].view(np.int64)) for c in (key, *more)]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(sums.astype(np.int64))], [*self._names, "n"])
 
-    def out():
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "c"]
-        )
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = Sums(["word", "tail"])
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            found.update(words(text))
-            found[END_WORD] += 1
-            if len(found) > 400_000:
-                yield out()
-                found.clear()
-    if found:
-        yield out()
+        for line in lines(batch.column("text"), 0):
+            key, first, n = np.unique(line.h, return_index=True, return_counts=True)
+            yield from sums.add(n, key, line.tail[first])
+    yield from sums.rest()
 
 
-def _symbol_masses(own: tuple[bytes, ...]):
+def _symbol_masses(own: tuple[int, ...]):
     """Counts plus one of the known words, summed by symbol."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = Symbols(own)
         for batch in batches:
-            at = np.array([symbols[w] for w in batch.column("word").to_pylist()], np.int64)
-            sums = np.bincount(at, weights=batch.column("c").to_numpy() + 1.0, minlength=SYMBOLS)
+            word, tail, c = (batch.column(n).to_numpy() for n in ("word", "tail", "c"))
+            sums = np.bincount(symbols.of(word.view(np.uint64), tail), weights=c + 1.0, minlength=SYMBOLS)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(SYMBOLS)), pa.array(sums)], ["symbol", "mass"])
 
     return run
 
 
-def _code_counts(own: tuple[bytes, ...]):
+def _code_counts(own: tuple[int, ...]):
     """Counts of symbols after contexts, as numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, found, size = Symbols(own), [], 0
-
-        def out():
-            codes = np.concatenate([c for c, _ in found])
-            order = np.argsort(codes, kind="stable")
-            codes, n = codes[order], np.concatenate([n for _, n in found])[order]
-            first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            return pa.RecordBatch.from_arrays([pa.array(codes[first]), pa.array(np.add.reduceat(n, first))], ["code", "n"])
-
+        symbols, sums = Symbols(own), Sums(["code"], 4_000_000)
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            for at in range(0, len(column), 1000):
-                line, starts = symbols.line([words(t) for t in column[at : at + 1000]])
-                scored = np.ones(len(line), bool)
-                scored[_paddings(starts)] = False
-                found.append(np.unique((contexts(line) << BITS | line)[scored], return_counts=True))
-                size += len(found[-1][0])
-                if size > 4_000_000:
-                    yield out()
-                    found, size = [], 0
-        if found:
-            yield out()
+            for line in lines(batch.column("text"), DEPTH):
+                found = symbols.of(line.h, line.tail)
+                codes, n = np.unique((contexts(found) << BITS | found)[line.before >= DEPTH], return_counts=True)
+                yield from sums.add(n, codes)
+        yield from sums.rest()
 
     return run
 
@@ -146,7 +193,7 @@ class Tree:
     state; ``mass``: counts plus one of each symbol's words, and one for its unknown ones."""
 
     name: str
-    own: tuple[bytes, ...]
+    own: tuple[int, ...]
     kept: np.ndarray
     logp: np.ndarray
     mass: np.ndarray
@@ -161,13 +208,12 @@ class Tree:
 
 @dataclass(frozen=True)
 class Model:
-    """Counts of training words stay a table; the tree is small by its documented capacity."""
+    """Counts of training words and contexts stay a table; the tree is small by its documented capacity."""
 
-    words: DataFrame  # word, c
     train_tokens: int
     distinct: int
     tree: Tree
-    states: DataFrame  # key, n, kinds: of contexts all occurrences and kinds of next words, of pairs the occurrences
+    states: DataFrame  # key, n, kinds: of contexts all occurrences and kinds of next words, of words and pairs the occurrences
     filters: list[tuple[np.ndarray, np.ndarray]]  # by length, of kept contexts and of those with longer ones
 
 
@@ -222,7 +268,7 @@ def _smoothed(states: list[tuple[int, int]], rows, root: np.ndarray) -> np.ndarr
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = a * _FACTOR + b
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
@@ -231,40 +277,33 @@ def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return ~_joined(context, word)
 
 
+def _single(word: np.ndarray) -> np.ndarray:
+    """The pair of the empty context and a word: the key of its own count."""
+    return _pair(np.zeros_like(word), word)
+
+
 def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slots = (hashes & np.uint64((1 << _SLOT_BITS) - 1)).astype(np.int64)
-    return (marks[slots] >> ((hashes >> np.uint64(_SLOT_BITS)) & np.uint64(63)) & np.uint64(1)).astype(bool)
+    """Whether a filter lets hashes through; its length is a power of two."""
+    bits = len(marks).bit_length() - 1
+    slots = (hashes & np.uint64(len(marks) - 1)).astype(np.int64)
+    return (marks[slots] >> ((hashes >> np.uint64(bits)) & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _marks(rows: DataFrame, name: str) -> np.ndarray:
-    """A filter of fixed size that lets all hashes of the column through, and few others."""
-    slot = F.col(name).bitwiseAND((1 << _SLOT_BITS) - 1)
-    mark = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {_SLOT_BITS}) & 63L as int))")
+    """A filter that lets all hashes of the column through, and few others; its size follows their number, up to 4 MB."""
+    bits = min(_SLOT_BITS, max(4, (rows.count() // 4).bit_length()))
+    slot = F.col(name).bitwiseAND((1 << bits) - 1)
+    mark = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {bits}) & 63L as int))")
     found = rows.groupBy(slot.alias("slot")).agg(F.bit_or(mark).alias("marks")).toPandas()
-    marks = np.zeros(1 << _SLOT_BITS, np.uint64)
+    marks = np.zeros(1 << bits, np.uint64)
     marks[found["slot"].to_numpy(np.int64)] = found["marks"].to_numpy(np.int64).view(np.uint64)
     return marks
 
 
-def _hashed(texts: list[list[bytes]], memo: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts in a row, each with an end before and after it, and for each how many are before it."""
-    flat, sizes = [], []
-    for text in texts:
-        flat.append(END_WORD)
-        flat.extend(text)
-        flat.append(END_WORD)
-        sizes.append(len(text) + 2)
-    before = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return memo.of(flat), before
-
-
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = WordHashes()
     for batch in batches:
-        hashes = memo.of(batch.column("word").to_pylist())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), pa.array(_pair(np.zeros_like(hashes), hashes).view(np.int64)), batch.column("c")], ["word", "key", "n"]
-        )
+        keys = _single(batch.column("word").to_numpy().view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(keys), batch.column("c")], ["word", "key", "n"])
 
 
 def _context_counts(frequent: np.ndarray, filters: list[tuple[np.ndarray, np.ndarray]]):
@@ -272,45 +311,28 @@ def _context_counts(frequent: np.ndarray, filters: list[tuple[np.ndarray, np.nda
     suffix with the same word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, found, size, depth = WordHashes(), [], 0, len(filters) + 1
-
-        def out():
-            ctx, key, below, n = (np.concatenate(c) for c in zip(*found))
-            order = np.argsort(key, kind="stable")
-            first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
-            at = order[first]
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array(c[at].view(np.int64)) for c in (ctx, key, below)), pa.array(np.add.reduceat(n[order], first))], ["ctx", "key", "below", "n"]
-            )
-
+        sums, depth = Sums(["key", "ctx", "below"]), len(filters) + 1
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            for start in range(0, len(column), 1000):
-                h, before = _hashed([words(t) for t in column[start : start + 1000]], memo)
-                at = np.flatnonzero(before >= depth)
+            for line in lines(batch.column("text")):
+                h, at = line.h, np.flatnonzero(line.before >= depth)
                 at = at[_marked(frequent, h[at - depth])]
                 ctx = np.zeros(len(at), np.uint64)
                 for d, (_, open_) in enumerate(filters, 1):
                     ctx = _joined(ctx, h[at - d])
                     held = _marked(open_, ctx)
                     at, ctx = at[held], ctx[held]
-                if not len(at):
-                    continue
                 longer = _joined(ctx, h[at - depth])
                 key, first, n = np.unique(_pair(longer, h[at]), return_index=True, return_counts=True)
-                found.append((longer[first], key, _pair(ctx[first], h[at[first]]), n))
-                size += len(key)
-                if size > 2_000_000:
-                    yield out()
-                    found, size = [], 0
-        if found:
-            yield out()
+                yield from sums.add(n, key, longer[first], _pair(ctx[first], h[at[first]]))
+        yield from sums.rest()
 
     return run
 
 
-def grow_words(rows: DataFrame, counts: DataFrame, total: int, least: int = 30, bits: float = 1.0) -> tuple[DataFrame, list[tuple[np.ndarray, np.ndarray]]]:
-    """All word contexts that pass the test of ``grow_tree``; neither number nor length has a limit.
+def grow_words(
+    rows: DataFrame, counts: DataFrame, total: int, least: int = 30, bits: float = 1.0, longest: int = LONGEST,
+) -> tuple[DataFrame, list[tuple[np.ndarray, np.ndarray]]]:
+    """All word contexts of up to ``longest`` words that pass the test of ``grow_tree``, however many.
 
     Longer contexts are counted where one can still pass: what all of them together gain over a context
     is at most its occurrences times the entropy of its next words, which must exceed the cost of one.
@@ -320,98 +342,115 @@ def grow_words(rows: DataFrame, counts: DataFrame, total: int, least: int = 30,
     frequent, filters = _marks(single.where(F.col("n") >= least), "word"), []
     states = single.limit(0).select("key", "n", F.col("n").alias("kinds"))
     level = single.select("key", "n", F.lit(total).cast("bigint").alias("total"))
-    spread = F.sum(F.col("n") * F.log("n"))
     gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / (F.col("sn") / F.col("stotal"))))
     passes, opens = F.col("gain") > F.col("kinds") * cost, F.col("total") * F.log("total") - F.col("spread") > cost
-    while True:
-        found = rows.mapInArrow(_context_counts(frequent, list(filters)), "ctx BIGINT, key BIGINT, below BIGINT, n BIGINT")
-        found = materialise(found.groupBy("ctx", "key", "below").agg(F.sum("n").alias("n")), "lm-contexts")
-        sums = found.groupBy("ctx").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), spread.alias("spread")).where(F.col("total") >= least)
+    of_context = Window.partitionBy("ctx")
+    while len(filters) < longest:
+        found = rows.mapInArrow(_context_counts(frequent, list(filters)), "key BIGINT, ctx BIGINT, below BIGINT, n BIGINT")
+        # dealt by context once, for the sums by pair and by context; tasks have summed theirs before
+        found = found.repartition("ctx").groupBy("ctx", "key", "below").agg(F.sum("n").alias("n")).select(
+            "*", F.sum("n").over(of_context).alias("total"), F.count("*").over(of_context).alias("kinds"),
+            F.sum(F.col("n") * F.log("n")).over(of_context).alias("spread"),
+        )
+        found = materialise(found.where(F.col("total") >= least), "lm-contexts")
         shorter = level.select(F.col("key").alias("below"), F.col("n").alias("sn"), F.col("total").alias("stotal"))
-        tested = found.join(sums, "ctx").join(shorter, "below").groupBy("ctx", "total", "kinds", "spread").agg(gain.alias("gain"))
-        tested = tested.select("ctx", "total", "kinds", passes.alias("kept"), opens.alias("open"))
+        tested = found.join(shorter, "below").groupBy("ctx", "total", "kinds", "spread").agg(gain.alias("gain"))
+        last = len(filters) + 1 == longest
+        tested = tested.select("ctx", "total", "kinds", passes.alias("kept"), (F.lit(False) if last else opens).alias("open"))
         tested = materialise(tested.where("kept OR open"), "lm-tested")
         if tested.isEmpty():
             return states, filters
-        pairs = materialise(found.join(tested, "ctx").select("key", "n", "total", "kept", "open"), "lm-pairs")
+        pairs = materialise(found.join(tested.select("ctx", "kept", "open"), "ctx").select("key", "n", "total", "kept", "open"), "lm-pairs")
         states = states.unionByName(pairs.where("kept").select("key", "n", F.lit(0).cast("bigint").alias("kinds")))
         states = states.unionByName(tested.where("kept").select(F.col("ctx").alias("key"), F.col("total").alias("n"), "kinds"))
         level = pairs.where("open").select("key", "n", "total")
         filters.append((_marks(tested.where("kept"), "ctx"), _marks(tested.where("open"), "ctx")))
         if not filters[-1][1].any():
-            return states, filters
+            break
+    return states, filters
 
 
-def fit(docs: DataFrame, keep: Column | None = None, **tree) -> Model:
+def fit(docs: DataFrame, keep: Column | None = None, longest: int = LONGEST, **tree) -> Model:
     """Counts over all texts of ``docs`` for which ``keep`` holds; null texts count as empty."""
     rows = (docs if keep is None else docs.where(keep)).select("text")
-    counts = rows.mapInArrow(_word_counts, "word BINARY, c BIGINT").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = rows.mapInArrow(_word_counts, "word BIGINT, tail BIGINT, n BIGINT").groupBy("word").agg(F.min("tail").alias("tail"), F.sum("n").alias("c"))
     counts = materialise(counts, "lm-words")
     sums = counts.agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct")).first()
-    first = counts.where(F.col("word") != F.lit(END_WORD)).orderBy(F.desc("c"), "word").limit(OWN).collect()
-    own = tuple(bytes(r["word"]) for r in first)
+    first = counts.where(F.col("word") != int(END)).orderBy(F.desc("c"), "word").limit(OWN).collect()
+    own = tuple(r["word"] % (1 << 64) for r in first)
     mass = np.ones(SYMBOLS)
     for r in counts.mapInArrow(_symbol_masses(own), "symbol BIGINT, mass DOUBLE").groupBy("symbol").agg(F.sum("mass").alias("mass")).collect():
         mass[r["symbol"]] += r["mass"]
     codes = materialise(rows.mapInArrow(_code_counts(own), "code BIGINT, n BIGINT").groupBy("code").agg(F.sum("n").alias("n")), "lm-codes")
-    states, filters = grow_words(rows, counts, sums["tokens"] or 0, **tree)
-    return Model(counts, sums["tokens"] or 0, sums["distinct"], grow_tree(codes, own, mass, **tree), states, filters)
+    states, filters = grow_words(rows, counts, sums["tokens"] or 0, longest=longest, **tree)
+    single = counts.mapInArrow(_word_keys, "word BIGINT, key BIGINT, n BIGINT").select("key", "n", F.lit(0).cast("bigint").alias("kinds"))
+    return Model(sums["tokens"] or 0, sums["distinct"], grow_tree(codes, own, mass, **tree), states.unionByName(single), filters)
 
 
 _LOADED: dict[str, tuple[np.ndarray, Symbols]] = {}
 
 
-def tree_scores(texts: list[list[bytes]], counts: np.ndarray, tree: Tree) -> np.ndarray:
-    """log10 probability of each word and end of the texts; ``counts`` are theirs, in order."""
+@dataclass(frozen=True)
+class Known:
+    """What a block needs of the table, by key."""
+
+    keys: np.ndarray
+    n: np.ndarray
+    kinds: np.ndarray
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys and whether they are there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        at, there = self.find(keys)
+        return np.where(there, self.n[at], 0).astype(float) if len(self.keys) else np.zeros(len(keys))
+
+
+def tree_scores(line: Line, counts: np.ndarray, tree: Tree) -> np.ndarray:
+    """log10 probability of each word and end of the texts, which have ``DEPTH`` ends before them; ``counts`` are theirs."""
     if tree.name not in _LOADED:  # one table per worker process
         _LOADED.clear()
         _LOADED[tree.name] = tree.state_of(), Symbols(tree.own)
     states, symbols = _LOADED[tree.name]
-    line, starts = symbols.line(texts)
-    padded = _paddings(starts)
-    scored = np.ones(len(line), bool)
-    scored[padded] = False
-    each = tree.logp[states[contexts(line)], line][scored].astype(float)
-    return each + np.log10((counts + 1) / tree.mass[line[scored]])
-
-
-def word_scores(
-    texts: list[list[bytes]], below: np.ndarray, known: tuple[np.ndarray, np.ndarray, np.ndarray],
-    filters: list[tuple[np.ndarray, np.ndarray]], memo: WordHashes,
-) -> np.ndarray:
-    """``below`` carried on through the kept contexts of each word, shortest first; ``known`` are keys in
-    order with ``n`` and ``kinds``."""
-    keys, n, kinds = known
-    h, before = _hashed(texts, memo)
-    at = np.flatnonzero(before > 0)
-    p, place = 10.0**below, np.arange(len(at))
-    ctx = np.zeros(len(at), np.uint64)
-    for depth, (_, open_) in enumerate(filters if len(keys) else (), 1):
-        deep = before[at] >= depth
+    found, scored = symbols.of(line.h, line.tail), line.before >= DEPTH
+    each = tree.logp[states[contexts(found)], found][scored].astype(float)
+    return each + np.log10((counts + 1) / tree.mass[found[scored]])
+
+
+def word_scores(line: Line, pad: int, below: np.ndarray, known: Known, filters: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """``below`` carried on through the kept contexts of each word, shortest first. One of the ``pad`` ends before a text
+    belongs to contexts."""
+    h, at = line.h, np.flatnonzero(line.before >= pad)
+    p, place, ctx = 10.0**below, np.arange(len(at)), np.zeros(len(at), np.uint64)
+    for depth, (_, open_) in enumerate(filters, 1):
+        deep = line.before[at] - (pad - 1) >= depth
         at, place, ctx = at[deep], place[deep], ctx[deep]
         ctx = _joined(ctx, h[at - depth])
-        state = np.minimum(np.searchsorted(keys, ctx), len(keys) - 1)
-        held = np.flatnonzero(keys[state] == ctx)
-        state, pair, spot = state[held], _pair(ctx[held], h[at[held]]), place[held]
-        found = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-        seen = np.where(keys[found] == pair, n[found], 0)
-        p[spot] = (seen + kinds[state] * p[spot]) / (n[state] + kinds[state])
+        state, there = known.find(ctx)
+        held = np.flatnonzero(there)
+        state, spot = state[held], place[held]
+        seen, n, kinds = known.counts(_pair(ctx[held], h[at[held]])), known.n[state], known.kinds[state]
+        p[spot] = (seen + kinds * p[spot]) / (n + kinds)
         longer = _marked(open_, ctx)
         at, place, ctx = at[longer], place[longer], ctx[longer]
     return np.log10(p)
 
 
 def _evidence(filters: list[tuple[np.ndarray, np.ndarray]]):
-    """Keys of the distinct contexts and pairs of a block that may be kept."""
+    """Keys of the distinct words of a block, and of its contexts and pairs that may be kept."""
 
     def run(table: pa.Table) -> pa.Table:
-        memo, found = WordHashes(), [np.zeros(0, np.uint64)]
-        for start in range(0, table.num_rows, 1000):
-            h, before = _hashed([words(t) for t in table.column("text").slice(start, 1000).to_pylist()], memo)
-            at = np.flatnonzero(before > 0)
+        found = [np.zeros(0, np.uint64)]
+        for line in lines(table.column("text")):
+            h, at = line.h, np.flatnonzero(line.before > 0)
+            found.append(np.unique(_single(h[at])))
             ctx = np.zeros(len(at), np.uint64)
             for depth, (kept, open_) in enumerate(filters, 1):
-                deep = before[at] >= depth
+                deep = line.before[at] >= depth
                 at, ctx = at[deep], ctx[deep]
                 ctx = _joined(ctx, h[at - depth])
                 held, longer = _marked(kept, ctx), _marked(open_, ctx)
@@ -423,37 +462,24 @@ def _evidence(filters: list[tuple[np.ndarray, np.ndarray]]):
     return run
 
 
-def _vocabulary(table: pa.Table) -> pa.Table:
-    """The distinct words of a block."""
-    found: set[bytes] = set()
-    for text in table.column("text").to_pylist():
-        found.update(words(text))
-    found.add(END_WORD)
-    block = table.column("block")[0].as_py()
-    return pa.table({"block": pa.array([block] * len(found), pa.int64()), "word": pa.array(list(found), pa.binary())})
-
-
 def _score_block(train_tokens: int, distinct: int, tree: Tree, filters: list[tuple[np.ndarray, np.ndarray]]):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("base_score", pa.float64()), ("score", pa.float64()),
     ])
 
-    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        counted = known.filter(pc.is_valid(known.column("word")))
-        get = dict(zip(counted.column("word").to_pylist(), counted.column("c").to_pylist())).get
-        states = known.filter(pc.is_valid(known.column("key")))
-        keys = states.column("key").to_numpy().view(np.uint64)
-        order, memo = np.argsort(keys), WordHashes()
-        held = keys[order], states.column("c").to_numpy()[order], states.column("kinds").to_numpy()[order]
+    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
+        keys = rows.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        known = Known(keys[order], *(rows.column(c).to_numpy()[order] for c in ("n", "kinds")))
         mass, parts = train_tokens + distinct + 1, []
-        for at in range(0, docs.num_rows, 1000):
-            texts = [words(t) for t in docs.column("text").slice(at, 1000).to_pylist()]
-            counts = np.array([get(w, 0) for t in texts for w in (*t, END_WORD)], float)
-            starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
-            each = word_scores(texts, tree_scores(texts, counts, tree), held, filters, memo)
+        for line in lines(docs.column("text"), DEPTH):
+            scored = line.before >= DEPTH
+            counts = known.counts(_single(line.h[scored]))
+            starts = line.starts - DEPTH * np.arange(len(line.starts))
+            each = word_scores(line, DEPTH, tree_scores(line, counts, tree), known, filters)
             parts.append((
-                np.array([len(t) + 1 for t in texts]), np.add.reduceat((counts > 0).astype(np.int64), starts),
+                np.diff(np.r_[starts, len(counts)]), np.add.reduceat((counts > 0).astype(np.int64), starts),
                 np.add.reduceat(np.log10((counts + 1) / mass), starts), np.add.reduceat(each, starts),
             ))
         found = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0)] * 4
@@ -477,12 +503,8 @@ def score(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), F.col("doc_id").cast("bigint").alias("doc_id"),
         held_out.alias("held_out"), "text",
     )
-    vocabulary = rows.groupBy("block").applyInArrow(_vocabulary, "block BIGINT, word BINARY")
-    nothing = F.lit(None).cast("bigint")
-    known = vocabulary.join(model.words, "word").select("block", "word", "c", nothing.alias("key"), nothing.alias("kinds"))
-    if model.filters:
-        evidence = rows.groupBy("block").applyInArrow(_evidence(model.filters), "block BIGINT, key BIGINT").join(model.states, "key")
-        known = known.unionByName(evidence.select("block", F.lit(None).cast("binary").alias("word"), F.col("n").alias("c"), "key", "kinds"))
+    evidence = rows.groupBy("block").applyInArrow(_evidence(model.filters), "block BIGINT, key BIGINT")
+    known = evidence.join(model.states, "key").select("block", "key", "n", "kinds")
     scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         _score_block(model.train_tokens, model.distinct, model.tree, model.filters),
         "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE",
