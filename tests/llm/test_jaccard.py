@@ -82,3 +82,18 @@ def test_components(spark, rows_of):
     links = [(i + 1, i) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (300, 200), (200, 300)]
     got = dict(rows_of(components(spark.createDataFrame(links, "a BIGINT, b BIGINT"))))
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 300: 200, 200: 200}
+
+
+def test_bounds_by_class_lose_no_link(spark):
+    memo = J.WordHashes()
+    texts = [" ".join(t) for t in CHAIN] + [" ".join(prose(21, 40_000, 90_000)), " ".join(changed(prose(21, 40_000, 90_000), *range(0, 40_000, 90))), " ".join(prose(22, 9, 9))]
+    sets = [J.shingle_set(t, memo) for t in texts]
+    assert max(len(J.spread_of(s)) for s in sets) == 4 * J.SPREAD
+    rows = spark.createDataFrame([(i, len(s), J.spread_of(s)) for i, s in enumerate(sets)], "rid BIGINT, n BIGINT, spread BINARY")
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a)]
+    got = {tuple(r) for r in J.that_may_link(spark.createDataFrame(pairs, "a BIGINT, b BIGINT"), rows, 80).collect()}
+    for a, b in pairs:
+        common = len(J.np.intersect1d(sets[a], sets[b]))
+        assert common <= J.most_shared(J.spread_of(sets[a]), J.spread_of(sets[b]))
+        assert (a, b) in got or 100 * common < 80 * (len(sets[a]) + len(sets[b]) - common)
+    assert len(got) < 0.6 * len(pairs)

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.llm.common import WORD, text_bytes
@@ -24,6 +25,7 @@ from tidemill.session import materialise
 WORDS = 5
 PERCENT = 80
 HUB_ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+SPREAD = 128  # classes of shingles, by which sets are counted to bound what two of them can share
 LONG_LIST = 8  # entries from which a token counts as frequent and comes last in the order
 # Tables are broadcast only if counted and at most so many narrow rows.
 FEW_ROWS = 500_000
@@ -51,25 +53,37 @@ def region_size(n: int, percent: int = PERCENT) -> int:
     return n if n <= 128 else min(n, p + 24 + p // 2)
 
 
+def spread_of(own: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each class, in as few bytes as hold the largest number."""
+    n = np.bincount((own & np.uint64(SPREAD - 1)).astype(np.int64), minlength=SPREAD)
+    return n.astype(np.uint8 if n.max() < 256 else np.uint32).tobytes()
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    """What two sets share at most: in each class the smaller count."""
+    x, y = (np.frombuffer(s, np.uint8 if len(s) == SPREAD else np.uint32).astype(np.int64) for s in (a, b))
+    return int(np.minimum(x, y).sum())
+
+
 def _sets(shift: int, k: int, percent: int):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-        ("hubs", pa.list_(pa.int64())), ("region", pa.list_(pa.int64())),
+        ("hubs", pa.list_(pa.int64())), ("region", pa.list_(pa.int64())), ("spread", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part, out = batch.slice(at, 2000), []
-                for text in part.column("text").to_pylist():
-                    own = shingle_set(text, memo, k)
+            for at in range(0, batch.num_rows, 500):
+                part, out = batch.slice(at, 500), []
+                for text in part.column("text"):
+                    own = shingle_set(text.as_py(), memo, k)
                     if not len(own):
-                        out.append((0, None, None, None))
+                        out.append((0, None, None, None, None))
                         continue
                     hubs = [(own * m).min().view(np.int64) for m in HUB_ORDERS]
                     region = (own[: region_size(len(own), percent)] >> np.uint64(shift)).view(np.int64)
-                    out.append((len(own), hashlib.md5(own.tobytes()).digest(), hubs, region))
+                    out.append((len(own), hashlib.md5(own.tobytes()).digest(), hubs, region, spread_of(own)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("th"), *(pa.array(c, t) for c, t in zip(zip(*out), schema.types[2:]))], schema=schema
                 )
@@ -93,8 +107,37 @@ def _linked(k: int, percent: int):
     return run
 
 
+def _may_link(percent: int):
+    """Drops pairs whose sets cannot share enough by their counts per class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("spread_a"), batch.column("spread_b")
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            needed = -(-percent * n // (100 + percent))
+            small = (pc.binary_length(a).to_numpy() == SPREAD) & (pc.binary_length(b).to_numpy() == SPREAD)
+            most = np.zeros(batch.num_rows, np.int64)
+            places = np.flatnonzero(small)
+            if len(places):
+                x, y = (np.frombuffer(b"".join(c.take(pa.array(places)).to_pylist()), np.uint8).reshape(-1, SPREAD) for c in (a, b))
+                most[places] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            for i in np.flatnonzero(~small):
+                most[i] = most_shared(a[i].as_py(), b[i].as_py())
+            yield batch.select(["a", "b"]).filter(pa.array(most >= needed))
+
+    return run
+
+
+def that_may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` that can link by what the stored sets say, so that few texts have to be met again."""
+    side = lambda c: sets.select(F.col("rid").alias(c), F.col("n").alias(f"n_{c}"), F.col("spread").alias(f"spread_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "n_a", "n_b", "spread_a", "spread_b").mapInArrow(_may_link(percent), "a BIGINT, b BIGINT")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (stored; ``a, b`` by row number) whose sets, made anew from the texts, link."""
+    """Those of ``pairs`` (``a, b`` by row number) whose sets, made anew from the texts, link."""
+    pairs = materialise(that_may_link(pairs, sets, percent), "pairs-to-verify")
     ends = materialise(
         pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
         .join(sets.select("rid", "doc_id", "th"), "rid"), "pair-ends",
@@ -211,17 +254,17 @@ def grouped(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, long_list:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
     bits = min(62, max(24, int(np.ceil(np.log2(text_bytes(docs) / 25 + 2))) + 16))  # of a token: so many that few meet by chance
     sets = rows.mapInArrow(
-        _sets(64 - bits, k, percent), "doc_id BIGINT, th BIGINT, n BIGINT, digest BINARY, hubs ARRAY<BIGINT>, region ARRAY<BIGINT>"
+        _sets(64 - bits, k, percent), "doc_id BIGINT, th BIGINT, n BIGINT, digest BINARY, hubs ARRAY<BIGINT>, region ARRAY<BIGINT>, spread BINARY"
     )
     sets = materialise(sets.withColumn("rid", F.monotonically_increasing_id()), "shingle-sets")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")
     reps = sets.where("n > 0").groupBy("digest").agg(first).select("digest", F.col("first.rid").alias("rid"))
     reps = materialise(reps, "distinct-sets")
-    links = verified(materialise(hub_pairs(sets, reps, percent), "hub-pairs"), sets, rows, k, percent)
+    links = verified(hub_pairs(sets, reps, percent), sets, rows, k, percent)
     own = _members(reps, links)
     index = token_index(sets, own, percent)
     for find in (lambda: star_pairs(index, own, percent), lambda: index_pairs(index, own, percent, long_list)):
-        links = links.unionByName(verified(materialise(find(), "index-pairs"), sets, rows, k, percent))
+        links = links.unionByName(verified(find(), sets, rows, k, percent))
         own = _members(reps, links)
     of_set = reps.join(own, "rid").select("digest", "component")
     return sets.select("doc_id", "th", "rid", "n", "digest").join(of_set, "digest", "left").drop("digest")
