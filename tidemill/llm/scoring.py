@@ -306,9 +306,9 @@ def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(keys), batch.column("c")], ["word", "key", "n"])
 
 
-def _context_counts(frequent: np.ndarray, filters: list[tuple[np.ndarray, np.ndarray]]):
+def _context_counts(frequent: np.ndarray, twos: np.ndarray | None, filters: list[tuple[np.ndarray, np.ndarray]]):
     """Counts of words after contexts one word longer than the last filter's; ``below`` is the pair of the
-    suffix with the same word."""
+    suffix with the same word. A context can only occur often enough if its words do, and each two in a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, depth = Sums(["key", "ctx", "below"]), len(filters) + 1
@@ -316,6 +316,9 @@ def _context_counts(frequent: np.ndarray, filters: list[tuple[np.ndarray, np.nda
             for line in lines(batch.column("text")):
                 h, at = line.h, np.flatnonzero(line.before >= depth)
                 at = at[_marked(frequent, h[at - depth])]
+                for d in range(1, depth):
+                    one = _joined(np.zeros(len(at), np.uint64), h[at - d - 1])
+                    at = at[_marked(twos, _pair(one, h[at - d]))]
                 ctx = np.zeros(len(at), np.uint64)
                 for d, (_, open_) in enumerate(filters, 1):
                     ctx = _joined(ctx, h[at - d])
@@ -339,20 +342,22 @@ def grow_words(
     """
     cost = bits * 0.5 * float(np.log(max(total, 2)))
     single = materialise(counts.mapInArrow(_word_keys, "word BIGINT, key BIGINT, n BIGINT"), "lm-word-keys")
-    frequent, filters = _marks(single.where(F.col("n") >= least), "word"), []
+    frequent, twos, filters = _marks(single.where(F.col("n") >= least), "word"), None, []
     states = single.limit(0).select("key", "n", F.col("n").alias("kinds"))
     level = single.select("key", "n", F.lit(total).cast("bigint").alias("total"))
     gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") / (F.col("sn") / F.col("stotal"))))
     passes, opens = F.col("gain") > F.col("kinds") * cost, F.col("total") * F.log("total") - F.col("spread") > cost
     of_context = Window.partitionBy("ctx")
     while len(filters) < longest:
-        found = rows.mapInArrow(_context_counts(frequent, list(filters)), "key BIGINT, ctx BIGINT, below BIGINT, n BIGINT")
+        found = rows.mapInArrow(_context_counts(frequent, twos, list(filters)), "key BIGINT, ctx BIGINT, below BIGINT, n BIGINT")
         # dealt by context once, for the sums by pair and by context; tasks have summed theirs before
         found = found.repartition("ctx").groupBy("ctx", "key", "below").agg(F.sum("n").alias("n")).select(
             "*", F.sum("n").over(of_context).alias("total"), F.count("*").over(of_context).alias("kinds"),
             F.sum(F.col("n") * F.log("n")).over(of_context).alias("spread"),
         )
         found = materialise(found.where(F.col("total") >= least), "lm-contexts")
+        if twos is None:
+            twos = _marks(found.where(F.col("n") >= least), "key")
         shorter = level.select(F.col("key").alias("below"), F.col("n").alias("sn"), F.col("total").alias("stotal"))
         tested = found.join(shorter, "below").groupBy("ctx", "total", "kinds", "spread").agg(gain.alias("gain"))
         last = len(filters) + 1 == longest
