@@ -172,16 +172,50 @@ def hub_pairs(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_sizes_fit(F.col("n"), F.col("hub.n"), percent)).select(F.col("rid").alias("a"), F.col("hub.rid").alias("b")).distinct()
 
 
+def _marked_entries(marks: np.ndarray):
+    """One row for each indexed token that the filter lets through."""
+    bits = len(marks).bit_length() - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            region = batch.column("region")
+            sizes = pc.fill_null(pc.list_value_length(region), 0).to_numpy()
+            tokens = region.flatten().to_numpy().view(np.uint64)
+            slots = (tokens & np.uint64(len(marks) - 1)).astype(np.int64)
+            at = np.flatnonzero(marks[slots] >> ((tokens >> np.uint64(bits)) & np.uint64(63)) & np.uint64(1))
+            row = np.repeat(np.arange(batch.num_rows), sizes)[at]
+            place = at - (np.cumsum(sizes) - sizes)[row]
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[at].view(np.int64)), batch.column("rid").take(take), batch.column("n").take(take), pa.array(sizes[row].astype(np.int32)), pa.array(place.astype(np.int32))],
+                ["token", "rid", "n", "r", "i"],
+            )
+
+    return run
+
+
+def token_marks(tokens: DataFrame) -> np.ndarray:
+    """A filter that lets all the tokens through, and few others: its size follows their number, up to 8 MB."""
+    bits = min(20, max(4, (tokens.count() // 4).bit_length()))
+    mark = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(token, {bits}) & 63L as int))")
+    found = tokens.groupBy(F.col("token").bitwiseAND((1 << bits) - 1).alias("slot")).agg(F.bit_or(mark).alias("marks")).toPandas()
+    marks = np.zeros(1 << bits, np.uint64)
+    marks[found["slot"].to_numpy(np.int64)] = found["marks"].to_numpy(np.int64).view(np.uint64)
+    return marks
+
+
 def token_index(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Entries ``token, rid, n, r, i, p`` of the tokens that more than one component has: the set's size, the
-    size of its region, the token's place, and the size of its prefix. ``members``: ``rid, component``."""
+    """Entries ``token, rid, n, r, i, p`` of the tokens that more than one different set has, for the first of equal sets:
+    the set's size, the size of its region, the token's place, and the size of its prefix. ``members``: ``rid, component``.
+
+    Most tokens are in one set only. They are found by token and a number of the set, and left out by a filter of bounded
+    size where the sets are stored, so the regions themselves are never moved."""
+    own = sets.where("n > 0").select(F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("bigint").alias("own"), F.explode("region").alias("token"))
+    shared = own.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
+    marks = token_marks(materialise(shared.select("token"), "shared-tokens"))
+    entries = sets.where("n > 0").select("rid", "n", "region").mapInArrow(_marked_entries(marks), "token BIGINT, rid BIGINT, n BIGINT, r INT, i INT")
     p = F.col("n") - F.ceil(percent * F.col("n") / 100 - 1e-9) + 1
-    entries = sets.select("rid", "n", "region").join(members, "rid").select(
-        "rid", "n", "component", F.size("region").alias("r"), F.posexplode("region").alias("i", "token")
-    )
-    tokens = materialise(_in_several(entries).select("token"), "shared-tokens")
-    few = tokens.count() <= 2 * FEW_ROWS
-    index = entries.join(F.broadcast(tokens) if few else tokens, "token")
+    index = entries.join(members.select("rid"), "rid", "left_semi")
     return materialise(index.select("token", "rid", "n", "r", "i", p.alias("p")), "index-entries")
 
 
