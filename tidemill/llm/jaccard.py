@@ -195,12 +195,12 @@ def _marked_entries(marks: np.ndarray):
 
 
 def token_marks(tokens: DataFrame) -> np.ndarray:
-    """A filter that lets all the tokens through, and few others: its size follows their number, up to 8 MB."""
-    bits = min(20, max(4, (tokens.count() // 4).bit_length()))
+    """A filter that lets all the tokens through, and few others: its size follows their number, up to 4 MB."""
+    bits = min(19, max(4, (tokens.count() // 4).bit_length()))
     mark = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(token, {bits}) & 63L as int))")
-    found = tokens.groupBy(F.col("token").bitwiseAND((1 << bits) - 1).alias("slot")).agg(F.bit_or(mark).alias("marks")).toPandas()
+    found = tokens.groupBy(F.col("token").bitwiseAND((1 << bits) - 1).alias("slot")).agg(F.bit_or(mark).alias("marks")).toArrow()
     marks = np.zeros(1 << bits, np.uint64)
-    marks[found["slot"].to_numpy(np.int64)] = found["marks"].to_numpy(np.int64).view(np.uint64)
+    marks[found.column("slot").to_numpy()] = found.column("marks").to_numpy().view(np.uint64)
     return marks
 
 

@@ -294,9 +294,9 @@ def _marks(rows: DataFrame, name: str) -> np.ndarray:
     bits = min(_SLOT_BITS, max(4, (rows.count() // 4).bit_length()))
     slot = F.col(name).bitwiseAND((1 << bits) - 1)
     mark = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, {bits}) & 63L as int))")
-    found = rows.groupBy(slot.alias("slot")).agg(F.bit_or(mark).alias("marks")).toPandas()
+    found = rows.groupBy(slot.alias("slot")).agg(F.bit_or(mark).alias("marks")).toArrow()
     marks = np.zeros(1 << bits, np.uint64)
-    marks[found["slot"].to_numpy(np.int64)] = found["marks"].to_numpy(np.int64).view(np.uint64)
+    marks[found.column("slot").to_numpy()] = found.column("marks").to_numpy().view(np.uint64)
     return marks
 
 
