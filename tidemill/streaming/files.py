@@ -116,16 +116,17 @@ def ingest_checked_files(
 def reject_zero_length(
     spark: SparkSession, src: str, rejects: str, schema: StructType, glob: str | None = None
 ) -> None:
-    """Records files of no bytes at all, which the row readers pass over. Only paths and lengths are read, by Spark's
-    own listing; those recorded before are left out."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*").load(src)
-    found = listing.filter("length = 0").select(
-        *[F.lit(None).cast("string").alias(n) for n in schema.fieldNames()], F.col("path").alias("file_path"), F.array(F.lit(EMPTY)).alias("errors"),
+    """Records files of no bytes at all, which all of Spark's readers pass over, ``binaryFile`` too, so the folder is
+    listed by the store's own client. Those recorded before are left out."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{src.rstrip('/')}/{glob or '*'}")
+    listing = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    paths = [(f.getPath().toString(),) for f in listing if f.isFile() and f.getLen() == 0]
+    found = spark.createDataFrame(paths, "file_path STRING").select(
+        *[F.lit(None).cast("string").alias(n) for n in schema.fieldNames()], "file_path", F.array(F.lit(EMPTY)).alias("errors"),
     )
     known = spark.read.schema("file_path string").parquet(rejects)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")  # noqa: E731 - listings and rows spell it differently
     new = found.join(known.select(plain("file_path").alias("_known")).distinct(), plain("file_path") == F.col("_known"), "left_anti")
-    new = materialise(new, "zero-length")
     if not new.isEmpty():
         new.write.mode("append").parquet(f"{rejects}/batch_id=-1")
 
