@@ -42,9 +42,15 @@ def merge_nodes(nodes: DataFrame, incoming: DataFrame, id: str, order_by: list[s
     return upsert(nodes, incoming, [id], order_by)
 
 
-def merge_edges(edges: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Edges after MERGE: each (src_id, dst_id) once."""
-    return edges.unionByName(incoming.select(*edges.columns)).dropDuplicates(["src_id", "dst_id"])
+def merge_edges(edges: DataFrame, incoming: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Edges after MERGE: each (src_id, dst_id) once.
+
+    ``partitions``, when given, is how many tasks share the pairs, so that one task's part need not grow with the edges.
+    """
+    merged = edges.unionByName(incoming.select(*edges.columns))
+    if partitions:
+        merged = merged.repartition(partitions, "src_id", "dst_id")
+    return merged.dropDuplicates(["src_id", "dst_id"])
 
 
 def merge_pairs(pairs: DataFrame, node_id: str, order_by: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@ reads what Spark derived from them."""
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, functions as F
@@ -19,6 +20,8 @@ CUSTOMER = "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_
 EVENT = "event_id LONG, user_id LONG, event_type STRING, value DOUBLE"
 ORDER = "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE"
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+# Lines that one task of merged_edges joins and merges.
+EDGE_ROWS_PER_TASK = 1_000_000
 
 
 def database() -> str:
@@ -219,10 +222,13 @@ def merged_nodes(t: Tables):
 
 @query("K8", "SELECT DISTINCT o_custkey AS src_id, l_partkey AS dst_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def merged_edges(t: Tables):
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # the join and the merges get tasks in proportion to the lines, whatever the session's number of shuffle partitions
+    parts = max(t.spark.sparkContext.defaultParallelism, math.ceil(t.lineitem.count() / EDGE_ROWS_PER_TASK))
+    lines, orders = t.lineitem.repartition(parts, "l_orderkey"), t.orders.repartition(parts, "o_orderkey")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     edges = joined.select(F.col("o_custkey").alias("src_id"), F.col("l_partkey").alias("dst_id"), "l_returnflag")
-    first = G.merge_edges(edges.filter(F.lit(False)).drop("l_returnflag"), edges.filter("l_returnflag = 'A'"))
-    return G.merge_edges(first, edges.drop("l_returnflag"))
+    first = G.merge_edges(edges.filter(F.lit(False)).drop("l_returnflag"), edges.filter("l_returnflag = 'A'"), parts)
+    return G.merge_edges(first, edges.drop("l_returnflag"), parts)
 
 
 UPDATES = """(SELECT o_orderkey, 'Delayed' AS o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'
