@@ -21,6 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemill.llm.common import text_bytes
@@ -33,6 +34,7 @@ OWN = 128  # words with a symbol of their own, the most frequent
 LONGEST = 3  # words in the longest context: the order of the tree
 BLOCK_BYTES = 8 << 20  # texts scored together by one task
 CHUNK_BYTES = 2 << 20  # texts hashed together
+FETCH = 8192  # states whose distributions come to the driver at once, 1 KB each
 _SLOT_BITS = 19  # 64 marks in each slot of the largest filter; full filters let more rows through to the joins
 END = np.uint64(1)  # stands for the end of a text
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -190,14 +192,18 @@ def _code_counts(own: tuple[int, ...]):
 @dataclass(frozen=True)
 class Tree:
     """``kept``: (depth, context) of each state after the root; ``logp``: log10 of the next symbol by
-    state; ``mass``: counts plus one of each symbol's words, and one for its unknown ones."""
+    state, which is broadcast once; ``mass``: counts plus one of each symbol's words, and one for its unknown ones."""
 
     name: str
     own: tuple[int, ...]
     kept: np.ndarray
-    logp: np.ndarray
+    table: Broadcast
     mass: np.ndarray
 
+    @property
+    def logp(self) -> np.ndarray:
+        return self.table.value
+
     def state_of(self) -> np.ndarray:
         """The longest kept suffix of every context: the tree as a table of 256 x 256 places."""
         table = np.zeros(SYMBOLS**DEPTH, np.int32)
@@ -221,7 +227,8 @@ def grow_tree(counts: DataFrame, own: tuple[bytes, ...], mass: np.ndarray, least
     """``counts``: ``code, n``. A context of at least ``least`` occurrences is kept if the divergence of
     its next symbols from those of its suffix, times its occurrences, is above what its parameters cost
     (``bits`` times half the logarithm of all symbols each). Suffixes of kept contexts are kept too.
-    The symbols alone bound what is collected.
+    Counts of the deepest contexts, up to 256 times 256 times 256, stay in tasks; their distributions are fetched
+    ``FETCH`` states at a time, and are at most 67 MB.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
     # one row per depth, context and next symbol
@@ -246,10 +253,22 @@ def grow_tree(counts: DataFrame, own: tuple[bytes, ...], mass: np.ndarray, least
     cost = bits * 0.5 * float(np.log(max(total, 2)))
     kept = gains.where(F.col("gain") > F.col("symbols") * cost).select("depth", "context").collect()
     states = sorted({(d, r["context"] % SYMBOLS**d) for r in kept for d in range(1, r["depth"] + 1)})
-    named = counts.sparkSession.createDataFrame([(0, 0), *states], "depth INT, context BIGINT")
-    rows = places.join(F.broadcast(named), ["depth", "context"]).select("depth", "context", "next", "n").toPandas()
-    kept_array = np.array(states, np.int64).reshape(-1, 2)
-    return Tree(uuid.uuid4().hex, own, kept_array, _smoothed(states, rows, mass / mass.sum()), mass)
+    spark, kept_array = counts.sparkSession, np.array(states, np.int64).reshape(-1, 2)
+    short = [s for s in states if s[0] < DEPTH]
+    named = spark.createDataFrame([(0, 0, 0), *((i, *s) for i, s in enumerate(states, 1))], "state INT, depth INT, context BIGINT")
+    rows = places.join(F.broadcast(named), ["depth", "context"])
+    p = _smoothed(short, rows.where(F.col("depth") < DEPTH).select("depth", "context", "next", "n").toPandas(), mass / mass.sum())
+    logp = np.zeros((1 + len(states), SYMBOLS), np.float32)
+    logp[: len(p)] = np.log10(p)
+    if len(short) < len(states):
+        # a context has one row for each symbol after it at most
+        deep = rows.where(F.col("depth") == DEPTH).groupBy("state", "context").agg(F.collect_list(F.struct("next", "n")).alias("seen"))
+        deep = materialise(deep.mapInArrow(_deepest(short, p), "state INT, logp BINARY"), "tree-states")
+        for low in range(len(p), len(logp), FETCH):
+            part = deep.where((F.col("state") >= low) & (F.col("state") < low + FETCH)).toArrow()
+            for state, line in zip(part.column("state").to_numpy(), part.column("logp")):
+                logp[state] = np.frombuffer(line.as_py(), np.float32)
+    return Tree(uuid.uuid4().hex, own, kept_array, spark.sparkContext.broadcast(logp), mass)
 
 
 def _smoothed(states: list[tuple[int, int]], rows, root: np.ndarray) -> np.ndarray:
@@ -264,7 +283,31 @@ def _smoothed(states: list[tuple[int, int]], rows, root: np.ndarray) -> np.ndarr
         if depth:
             kinds = max(1, np.count_nonzero(counts[i]))
             p[i] = (counts[i] + kinds * p[number[depth - 1, context % SYMBOLS ** (depth - 1)]]) / (counts[i].sum() + kinds)
-    return np.log10(p).astype(np.float32)
+    return p
+
+
+def _deepest(short: list[tuple[int, int]], p: np.ndarray):
+    """The same for the deepest states, each from its own row; ``p`` has the root and the ``short`` states."""
+    of_suffix = np.zeros(SYMBOLS ** (DEPTH - 1), np.int64)
+    for i, (depth, context) in enumerate(short, 1):
+        if depth == DEPTH - 1:
+            of_suffix[context] = i
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                seen = part.column("seen")
+                nexts, n = (c.to_numpy(zero_copy_only=False) for c in seen.flatten().flatten())
+                counts = np.zeros((part.num_rows, SYMBOLS))
+                counts[np.repeat(np.arange(part.num_rows), seen.value_lengths().to_numpy()), nexts] = n
+                kinds = np.maximum(1, np.count_nonzero(counts, axis=1))[:, None]
+                suffix = of_suffix[part.column("context").to_numpy() % len(of_suffix)]
+                found = (counts + kinds * p[suffix]) / (counts.sum(axis=1)[:, None] + kinds)
+                lines = [line.tobytes() for line in np.log10(found).astype(np.float32)]
+                yield pa.RecordBatch.from_arrays([part.column("state"), pa.array(lines, pa.binary())], ["state", "logp"])
+
+    return run
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
